@@ -21,7 +21,7 @@ CUSTOMER_KEY = "customer_id"
 SOURCE_FILE = "_source_file"
 INGESTED_AT = "_ingested_at"
 ORDER_DATE_PARSED = "_order_date_parsed"
-INGEST_ID = "_ingest_id"
+INGEST_ID = "ingest_id"
 RESERVED_COLUMNS = [SOURCE_FILE, INGESTED_AT, ORDER_DATE_PARSED, INGEST_ID, *DAY_COLUMNS]
 
 # A file without these can be neither keyed nor dated; any other column may be missing.

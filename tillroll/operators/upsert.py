@@ -29,10 +29,12 @@ def matched_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return target.select(key).join(wanted, key, "left_semi").distinct()
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, key: str, matched: DataFrame | None = None
+) -> DataFrame:
     """The target after the upsert, with the target's columns.
 
-    Fails while running if several source rows match one target row. Both joins leave the
+    `matched` may bring the source keys that the target holds, if they are known. Fails while running if several source rows match one target row. Both joins leave the
     target on the streamed side, where a small source is broadcast once its size is known
     and AQE can split a hot key.
     """
@@ -64,6 +66,8 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
         )
     )
 
-    matched = matched_keys(target, source, key).withColumn(SPREAD, F.lit(0))
-    added = incoming.join(matched, keys, "left_anti").select(*columns)
+    if matched is None:
+        matched = matched_keys(target, source, key)
+    held = matched.select(key, F.lit(0).alias(SPREAD))
+    added = incoming.join(held, keys, "left_anti").select(*columns)
     return updated.unionByName(added)

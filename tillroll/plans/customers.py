@@ -22,13 +22,6 @@ LATEST_ORDER = [
 ]
 
 
-def order_dates(silver: DataFrame, *also: Column) -> DataFrame:
-    """One row per (customer, order), dated by its latest line."""
-    return silver.groupBy(CUSTOMER_KEY, SALES_KEY).agg(
-        F.max("order_date").alias("order_date"), *also
-    )
-
-
 def _trailing_count(anchor: date, months: int | None) -> Column:
     """Orders in the window. An order is one row here, so no distinct is needed."""
     order = F.col(SALES_KEY)
@@ -43,7 +36,8 @@ def _trailing_counts(anchor: date) -> list[Column]:
 
 def customer_metrics(silver: DataFrame, anchor: date = LATEST_DAY) -> DataFrame:
     """Order counts per customer; the rows without a customer form one group."""
-    return order_dates(silver).groupBy(CUSTOMER_KEY).agg(*_trailing_counts(anchor))
+    orders = silver.groupBy(CUSTOMER_KEY, SALES_KEY).agg(F.max("order_date").alias("order_date"))
+    return orders.groupBy(CUSTOMER_KEY).agg(*_trailing_counts(anchor))
 
 
 def customer_latest(silver: DataFrame) -> DataFrame:
@@ -58,7 +52,9 @@ def customer_latest(silver: DataFrame) -> DataFrame:
 def customers(silver: DataFrame, anchor: date = LATEST_DAY) -> DataFrame:
     """The published rows from one scan and two aggregates; rows without a customer drop out."""
     known = silver.filter(F.col(CUSTOMER_KEY).isNotNull())
-    orders = order_dates(known, highest(LATEST_ORDER).alias("latest"))
+    orders = known.groupBy(CUSTOMER_KEY, SALES_KEY).agg(highest(LATEST_ORDER).alias("latest"))
+    # The date leads the struct, so the highest struct carries the order's latest date.
+    orders = orders.withColumn("order_date", F.col("latest.order_date"))
     rolled = orders.groupBy(CUSTOMER_KEY).agg(
         *_trailing_counts(anchor), F.max("latest").alias("latest")
     )
