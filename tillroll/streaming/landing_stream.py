@@ -17,11 +17,15 @@ from tillroll.layers import LANDING_PREFIX
 # Fixed value: the CSV suffix in any case.
 CSV_GLOB = "*.[cC][sS][vV]"
 
+# Fixed value: the columns of a file listing.
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def new_files(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
     """(uri, key) of each CSV below the folder; file contents are not read."""
     listed = (
         spark.readStream.format("binaryFile")
+        .schema(LISTING)
         .option("pathGlobFilter", CSV_GLOB)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)

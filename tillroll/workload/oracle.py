@@ -223,7 +223,7 @@ def oracles() -> dict[str, str]:
         ),
         "catalog_gold": _with(*_SALES_PARTS, then=_ALL_SALES),
         "manifest_files": _with(
-            *_SALES_PARTS, then="SELECT DISTINCT year, month, day FROM gold_sales"
+            *_SALES_PARTS, then="SELECT year, month, day, count(*) AS n FROM gold_sales GROUP BY year, month, day"
         ),
         "trigger_keys": _with(_KEYS, then="SELECT * FROM accepted"),
         "trigger_count": _with(_KEYS, then="SELECT count(*) AS started FROM accepted"),

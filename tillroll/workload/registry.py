@@ -14,7 +14,7 @@ from tillroll.plans.bronze import bronze_slice
 from tillroll.plans.customers import customer_latest, customer_metrics, customers
 from tillroll.plans.sales import sales
 from tillroll.sources.events import runnable_keys, started_count
-from tillroll.workload import inputs
+from tillroll.workload import inputs, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,6 +98,21 @@ def _upsert_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(target, customers(rows, inputs.ANCHOR), CUSTOMER_KEY)
 
 
+def _layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = inputs.silver(spark, sf_dir)
+    layers = {
+        "bronze": inputs.bronze(spark, sf_dir),
+        "silver": rows,
+        "gold_sales": sales(rows),
+        "gold_customer": customers(rows, inputs.ANCHOR),
+    }
+    counts = [
+        frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(layer).alias("layer"), "n")
+        for layer, frame in layers.items()
+    ]
+    return append_by_name(*counts)
+
+
 def _trigger_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runnable_keys(inputs.notifications(spark, sf_dir))
 
@@ -108,6 +123,7 @@ def _trigger_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "csv_scan": stored.csv_scan,
         "bronze_rows": _bronze_rows,
         "bronze_partitions": _bronze_partitions,
         "bronze_append": _bronze_append,
@@ -122,6 +138,11 @@ def queries() -> dict[str, Query]:
         "customer_latest": _customer_latest,
         "gold_customer": gold_customer,
         "upsert_customer": _upsert_customer,
+        "layer_counts": _layer_counts,
+        "catalog_gold": stored.catalog_gold,
+        "manifest_files": stored.manifest_files,
         "trigger_keys": _trigger_keys,
         "trigger_count": _trigger_count,
+        "stream_files": stored.stream_files,
+        "layered_run": stored.layered_run,
     }
