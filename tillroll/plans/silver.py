@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.cleaning import landing_date, name_part, whole_number
-from tillroll.layers import DAY_COLUMNS, INGESTED_AT, SILVER, SILVER_KEY
+from tillroll.layers import DAY_COLUMNS, INGESTED_AT, ORDER_DATE_PARSED, SILVER, SILVER_KEY
 from tillroll.operators.pick import highest_per_key
 
 DATES = {"order_date", "ship_date"}
@@ -23,6 +23,9 @@ def _conformed(name: str, available: list[str]) -> Column:
         return text
     if name in NAME_PARTS:
         return name_part(text, NAME_PARTS[name])
+    if name == "order_date" and ORDER_DATE_PARSED in available:
+        # Ingest has parsed this very text; parsing dates is the dearest step here.
+        return F.col(ORDER_DATE_PARSED)
     if name in DATES:
         return landing_date(text)
     return whole_number(text) if name == SILVER_KEY else F.trim(text)

@@ -27,12 +27,14 @@ def _writer(spark: SparkSession) -> SparkSession:
     """A session of the same cluster for writing many small day folders.
 
     A day of the given tables holds a few rows, so by size AQE would let one task create all
-    folders; this keeps every core at it. The caller's settings stay as they are.
+    folders, and listing them would cost a task per folder; these settings keep every core at
+    it. The caller's settings stay as they are.
     """
     session = spark.newSession()
     for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         session.conf.set(name, spark.conf.get(name))
     session.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "4KB")
+    session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
     return session
 
 
