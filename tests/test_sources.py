@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from conftest import rows_of
+from tillroll.plans.bronze import bronze_rows
+from tillroll.sources.events import event_records, malformed_count, runnable_keys, started_count
+from tillroll.sources.landing import check_landing_columns, fold_headers, scan_csv
+
+HEADER = "Row ID,Order ID,Order Date,Customer ID,Sub-Category"
+
+
+def write(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_scan_keeps_text_and_folds_headers(spark, tmp_path):
+    uri = write(tmp_path / "a.csv", f"{HEADER}\n007, O-1 ,1/2/2018,C-1,Chairs\n")
+    frame = scan_csv(spark, uri)
+    assert frame.columns == ["row_id", "order_id", "order_date", "customer_id", "sub-category"]
+    assert [tuple(r) for r in frame.collect()] == [("007", " O-1 ", "1/2/2018", "C-1", "Chairs")]
+    assert {f.dataType.simpleString() for f in frame.schema} == {"string"}
+
+
+def test_scan_options_for_quoted_text(spark, tmp_path):
+    uri = write(tmp_path / "q.csv", 'A,B\n1,"two\nlines"\n2,"say ""hi"""\n')
+    assert scan_csv(spark, uri).count() == 3
+    frame = scan_csv(spark, uri, multi_line=True, escape='"')
+    assert rows_of(frame) == [("1", "two\nlines"), ("2", 'say "hi"')]
+
+
+def test_headers_that_fold_to_one_name_are_an_error(spark):
+    frame = spark.createDataFrame([("a", "b")], "`Order ID` string, order_id string")
+    with pytest.raises(ValueError, match="order_id"):
+        fold_headers(frame)
+
+
+@pytest.mark.parametrize(
+    ("ddl", "message"),
+    [
+        ("row_id string, order_id string, customer_id string", "order_date"),
+        ("row_id string, order_id string, customer_id string, order_date string, year string", "year"),
+    ],
+)
+def test_column_check(spark, ddl, message):
+    with pytest.raises(ValueError, match=message):
+        check_landing_columns(spark.createDataFrame([], ddl))
+
+
+def test_bronze_adds_lineage_and_day(spark, tmp_path):
+    uri = write(tmp_path / "a.csv", f"{HEADER}\n1,O,1/2/2018,C,X\n2,O,bad,C,X\n")
+    rows = bronze_rows(scan_csv(spark, uri), "landing/a.csv", "now")
+    assert rows.columns[5:] == [
+        "_source_file", "_ingested_at", "_order_date_parsed", "year", "month", "day",
+    ]
+    assert [tuple(r) for r in rows.select("_source_file", "year", "month", "day").collect()] == [
+        ("landing/a.csv", 2018, 1, 2), ("landing/a.csv", None, None, None),
+    ]
+
+
+def record(key, bucket="b"):
+    return {"s3": {"bucket": {"name": bucket}, "object": {"key": key}}}
+
+
+def test_events(spark):
+    bodies = [
+        json.dumps({"Records": [record("landing/x.csv"), record("landing/a+b.CSV"), record("other/x.csv")]}),
+        json.dumps({"Records": [record("Landing/x.csv"), record("landing/x.txt"), record("landing/x.csv.gz")]}),
+        json.dumps({"Records": [record("in/x.csv"), {"s3": {"bucket": {"name": "b"}}}, {}]}),
+        "{}",
+        '{"Records":[]}',
+        "not json",
+    ]
+    events = spark.createDataFrame([(b,) for b in bodies], "value string")
+    keys = runnable_keys(events)
+    assert rows_of(keys) == [("b", "landing/a b.CSV"), ("b", "landing/x.csv")]
+    assert started_count(keys).collect()[0].started == 2
+    assert malformed_count(events).collect()[0].malformed == 2
+    assert event_records(events).count() == 9
+    assert rows_of(runnable_keys(events, prefix="in/")) == [("b", "in/x.csv")]
