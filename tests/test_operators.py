@@ -18,7 +18,7 @@ ROW = st.tuples(
     st.one_of(st.none(), st.integers(0, 3)),
 )
 PROPERTY = settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.layers import DAY_COLUMNS, INGEST_ID
 from tillroll.plans.bronze import bronze_slice
@@ -31,9 +32,14 @@ def write_slice(rows: DataFrame, bronze_path: str, bucket: str, key: str) -> int
 
 
 def read_slice(spark: SparkSession, bronze_path: str, bucket: str, key: str) -> DataFrame:
-    return bronze_slice(spark.read.parquet(slice_path(bronze_path, bucket, key)), key)
+    return bronze_slice(_typed(spark.read.parquet(slice_path(bronze_path, bucket, key))), key)
 
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     """Every row with the columns of every file; a column that a file lacks is NULL there."""
-    return spark.read.option("mergeSchema", True).parquet(bronze_path)
+    return _typed(spark.read.option("mergeSchema", True).parquet(bronze_path))
+
+
+def _typed(rows: DataFrame) -> DataFrame:
+    """Folder names of undated rows alone would leave the day columns without a type."""
+    return rows.withColumns({name: F.col(name).cast("int") for name in DAY_COLUMNS})
