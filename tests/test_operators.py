@@ -22,6 +22,10 @@ PROPERTY = settings(
 )
 
 
+def expected_rows(rows):
+    return sorted(rows, key=repr)
+
+
 def unique_keys(rows):
     keyed = {row[0]: row for row in rows if row[0] is not None}
     return [*keyed.values(), *(row for row in rows if row[0] is None)]
@@ -67,6 +71,14 @@ def test_upsert_rejects_two_source_rows_for_one_target_row(spark):
     assert rows_of(upsert(t, other, "k")) == [(1, "a", 1), (2, "b", 1), (2, "c", 1)]
 
 
+def test_a_source_of_copies_is_added_whole_when_unmatched(spark):
+    t = spark.createDataFrame([(1, "a", 1)], DDL)
+    copies = [(5, "copy", 0)] * 200 + [(None, "copy", 0)] * 200
+    assert rows_of(upsert(t, spark.createDataFrame(copies, DDL), "k")) == expected_rows(
+        [(1, "a", 1), *copies]
+    )
+
+
 def test_append_by_name_fills_missing_columns(spark):
     first = spark.createDataFrame([("1", "x")], "a string, b string")
     second = spark.createDataFrame([("y", "2")], "b string, c string")

@@ -7,7 +7,7 @@ NULL key matches nothing: such target rows stay and such source rows are always
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows without a key match nothing, so they may go anywhere; this many join partitions
@@ -15,18 +15,24 @@ from pyspark.sql import functions as F
 KEYLESS_SPREAD = 4096
 
 SPREAD = "_spread"
-COPY = "_copy"
+MATCHED = "_matched"
+AMBIGUOUS = "_ambiguous"
 
 
-def _spread(frame: DataFrame, key: str) -> Column:
-    keyless_bucket = F.pmod(F.xxhash64(*frame.columns), F.lit(KEYLESS_SPREAD)).cast("int")
-    return F.when(F.col(key).isNull(), keyless_bucket).otherwise(F.lit(0))
+def _spread(frame: DataFrame, key: str) -> DataFrame:
+    bucket = F.pmod(F.xxhash64(*frame.columns), F.lit(KEYLESS_SPREAD)).cast("int")
+    return frame.withColumn(SPREAD, F.when(F.col(key).isNull(), bucket).otherwise(F.lit(0)))
 
 
 def matched_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Distinct source keys that the target holds; reads only the key column of each."""
-    wanted = source.select(key)
-    return target.select(key).join(wanted, key, "left_semi").distinct()
+    return target.select(key).join(source.select(key), key, "left_semi").distinct()
+
+
+def repeated_keys(source: DataFrame, key: str) -> DataFrame:
+    """Keys of several source rows; counted per task first, so a hot key moves as one row."""
+    counted = source.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter(F.col(key).isNotNull() & (F.col("n") > 1)).select(key)
 
 
 def upsert(
@@ -34,40 +40,36 @@ def upsert(
 ) -> DataFrame:
     """The target after the upsert, with the target's columns.
 
-    `matched` may bring the source keys that the target holds, if they are known. Fails while running if several source rows match one target row. Both joins leave the
-    target on the streamed side, where a small source is broadcast once its size is known
-    and AQE can split a hot key.
+    `matched` may bring the source keys that the target holds, if they are known. Fails while
+    running if several source rows match one target row. In every join the rows that may be
+    many are on the left, where AQE broadcasts a right side that proved small and splits a
+    hot key otherwise.
     """
     columns = target.columns
     keys = [key, SPREAD]
-    incoming = source.select(*columns).withColumn(SPREAD, _spread(source.select(*columns), key))
-
-    # Same partitioning and order as the join below, so numbering the copies moves no rows.
-    numbered = incoming.withColumn(
-        COPY, F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    )
-    s = numbered.select(*(F.col(name).alias(f"_s_{name}") for name in columns), SPREAD, COPY)
-    t = target.withColumn(SPREAD, _spread(target, key))
-    joined = t.join(
-        s, (t[key] == s[f"_s_{key}"]) & (t[SPREAD] == s[SPREAD]), "left"
-    )
-    ambiguous = F.raise_error(
-        F.concat(F.lit(f"several source rows match {key} "), F.col(f"_s_{key}").cast("string"))
+    incoming = _spread(source.select(*columns), key)
+    repeated = repeated_keys(source, key).select(
+        key, F.lit(0).alias(SPREAD), F.lit(True).alias(AMBIGUOUS)
     )
-    updated = joined.select(
-        *(
-            F.when(F.col(COPY) > 1, ambiguous.cast(target.schema[name].dataType))
-            .when(F.col(COPY) == 1, F.col(f"_s_{name}"))
-            .otherwise(t[name])
-            .alias(name)
-            if name == key
-            else F.when(F.col(COPY).isNotNull(), F.col(f"_s_{name}")).otherwise(t[name]).alias(name)
-            for name in columns
-        )
+    marked = incoming.join(repeated, keys, "left").withColumn(MATCHED, F.lit(True))
+    renamed = marked.select(
+        *(F.col(name).alias(f"_new_{name}") for name in columns), *keys, MATCHED, AMBIGUOUS
     )
 
+    def value(name: str) -> Column:
+        updated = F.when(F.col(MATCHED), F.col(f"_new_{name}")).otherwise(F.col(name))
+        return (_checked(updated, key) if name == key else updated).alias(name)
+
+    joined = _spread(target, key).join(renamed, keys, "left")
+    updated = joined.select(*(value(name) for name in columns))
+
     if matched is None:
         matched = matched_keys(target, source, key)
     held = matched.select(key, F.lit(0).alias(SPREAD))
     added = incoming.join(held, keys, "left_anti").select(*columns)
     return updated.unionByName(added)
+
+
+def _checked(updated_key: Column, key: str) -> Column:
+    text = F.concat(F.lit(f"several source rows match {key} "), F.col(key).cast("string"))
+    return F.when(F.col(AMBIGUOUS), F.raise_error(text)).otherwise(updated_key)

@@ -74,11 +74,6 @@ def _upsert_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(sales(earlier), sales(rows), SALES_KEY)
 
 
-def _gold_sales_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _gold_sales(spark, sf_dir)
-    return rows.filter((F.col("year") == 2000) & (F.col("month") == 6))
-
-
 def _customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_metrics(inputs.silver(spark, sf_dir), inputs.ANCHOR)
 
@@ -133,7 +128,7 @@ def queries() -> dict[str, Query]:
         "upsert_empty": _upsert_empty,
         "gold_sales": _gold_sales,
         "upsert_sales": _upsert_sales,
-        "gold_sales_pruned": _gold_sales_pruned,
+        "gold_sales_pruned": stored.gold_sales_pruned,
         "customer_metrics": _customer_metrics,
         "customer_latest": _customer_latest,
         "gold_customer": gold_customer,

@@ -82,6 +82,11 @@ def catalog_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_published_sales(spark, sf_dir).sales.name)
 
 
+def gold_sales_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One month of the order fact: only that month's folders are read."""
+    return catalog_gold(spark, sf_dir).filter((F.col("year") == 2000) & (F.col("month") == 6))
+
+
 def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per day in the files that the manifest lists."""
     spark = _writer(spark)
