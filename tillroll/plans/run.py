@@ -24,8 +24,7 @@ from tillroll.plans.customers import customers
 from tillroll.plans.sales import sales
 from tillroll.plans.silver import keyed_rows, keyless_rows
 from tillroll.sinks.catalog import LayerTable, create_database
-from tillroll.sinks.manifest import write_manifest
-from tillroll.sinks.merge import Outcome, merge_into
+from tillroll.sinks.merge import Match, apply_match, match, merge_into
 from tillroll.sinks.staging import write_counted
 from tillroll.sources.bronze_files import ingest_id, read_slice, write_slice
 from tillroll.sources.landing import scan_csv
@@ -47,21 +46,27 @@ class Layers:
     def rejects(self) -> str:
         return f"{self.root}/rejects/orders"
 
+    @property
+    def touched(self) -> str:
+        return f"{self.root}/touched/orders"
+
     @property
     def silver(self) -> LayerTable:
         return self._table("silver_orders", "silver/orders", SILVER, SILVER_KEY, DAY_COLUMNS)
 
     @property
     def sales(self) -> LayerTable:
-        return self._table("gold_sales", "gold/sales", GOLD_SALES, SALES_KEY, DAY_COLUMNS)
+        return self._table("gold_sales", "gold/sales", GOLD_SALES, SALES_KEY, DAY_COLUMNS, True)
 
     @property
     def customers(self) -> LayerTable:
-        return self._table("gold_customer", "gold/customer", GOLD_CUSTOMER, CUSTOMER_KEY, [])
+        return self._table("gold_customer", "gold/customer", GOLD_CUSTOMER, CUSTOMER_KEY, [], True)
 
-    def _table(self, name, folder, schema, key, partition_by) -> LayerTable:
-        path = f"{self.root}/{folder}"
-        return LayerTable(f"{self.database}.{name}", path, schema, key, tuple(partition_by))
+    def _table(self, name, folder, schema, key, partition_by, manifest=False) -> LayerTable:
+        return LayerTable(
+            f"{self.database}.{name}", f"{self.root}/{folder}", schema, key,
+            tuple(partition_by), manifest,
+        )
 
 
 @dataclass
@@ -107,13 +112,15 @@ def run_file(
     rejected = f"{layers.rejects}/{INGEST_ID}={ingest_id(bucket, key)}"
     report.rejected = write_counted(keyless_rows(arrived), rejected)["rows"]
 
-    conformed = merge_into(spark, layers.silver, keyed_rows(arrived), (SALES_KEY, CUSTOMER_KEY))
-    report.silver = conformed.rows
-    if conformed.rows:
-        report.sales = _publish(spark, layers.sales, _touched_sales(spark, layers, conformed))
-        report.customers = _publish(
-            spark, layers.customers, _touched_customers(spark, layers, conformed)
-        )
+    found = match(spark, layers.silver, keyed_rows(arrived), (SALES_KEY, CUSTOMER_KEY))
+    report.silver = found.rows
+    if found.rows:
+        touched = _record_touched(spark, layers, ingest_id(bucket, key), found)
+        apply_match(spark, layers.silver, found)
+        orders = _touched(spark, layers, layers.sales, touched)
+        report.sales = merge_into(spark, layers.sales, sales(orders))
+        buyers = _touched(spark, layers, layers.customers, touched)
+        report.customers = merge_into(spark, layers.customers, customers(buyers, layers.anchor))
     return report
 
 
@@ -121,39 +128,37 @@ def refresh_gold(spark: SparkSession, layers: Layers) -> Report:
     """Recompute both gold tables from all of silver, as a new anchor day asks for."""
     silver = spark.table(layers.silver.name)
     return Report(
-        sales=_publish(spark, layers.sales, sales(_keyed(silver, SALES_KEY))),
-        customers=_publish(spark, layers.customers, customers(silver, layers.anchor)),
+        sales=merge_into(spark, layers.sales, sales(_keyed(silver, SALES_KEY))),
+        customers=merge_into(spark, layers.customers, customers(silver, layers.anchor)),
     )
 
 
-def _publish(spark: SparkSession, table: LayerTable, rows: DataFrame) -> int:
-    outcome = merge_into(spark, table, rows)
-    if outcome.rows:
-        write_manifest(spark, table, outcome.changed, outcome.emptied)
-    return outcome.rows
-
-
 def _keyed(silver: DataFrame, key: str) -> DataFrame:
     return silver.filter(silver[key].isNotNull())
 
 
-def _touched(spark: SparkSession, layers: Layers, conformed: Outcome, key: str) -> DataFrame:
-    """Silver rows of the orders or customers that the upsert changed.
+def _record_touched(
+    spark: SparkSession, layers: Layers, landing_id: str, found: Match
+) -> DataFrame:
+    """Orders and customers whose gold rows the upsert may change.
 
-    Both the new rows and the ones they replaced count: a line that moved to another customer
-    changes the old customer's numbers too. Any other key's result stays what it was, so
-    recomputing it would write the same row again.
+    Both the new rows and the ones they replace count: a line that moves to another customer
+    changes the old customer's numbers too. The keys are stored before silver changes and
+    stay with the landing file, so a run that dies afterwards still finds them when repeated.
     """
-    silver = _keyed(spark.table(layers.silver.name), key)
-    if conformed.created:
+    keys = found.source.select(SALES_KEY, CUSTOMER_KEY)
+    if found.matched is not None:
+        keys = keys.union(found.matched.select(SALES_KEY, CUSTOMER_KEY))
+    path = f"{layers.touched}/{INGEST_ID}={landing_id}"
+    keys.distinct().write.mode("append").parquet(path)
+    return spark.read.schema(keys.schema).parquet(path)
+
+
+def _touched(
+    spark: SparkSession, layers: Layers, table: LayerTable, touched: DataFrame
+) -> DataFrame:
+    """All silver rows of the touched keys; any other key's gold row stays what it is."""
+    silver = _keyed(spark.table(layers.silver.name), table.key)
+    if not spark.catalog.tableExists(table.name):
         return silver
-    keys = conformed.source.select(key).union(conformed.matched.select(key)).distinct()
-    return silver.join(keys, key, "left_semi")
-
-
-def _touched_sales(spark: SparkSession, layers: Layers, conformed: Outcome) -> DataFrame:
-    return sales(_touched(spark, layers, conformed, SALES_KEY))
-
-
-def _touched_customers(spark: SparkSession, layers: Layers, conformed: Outcome) -> DataFrame:
-    return customers(_touched(spark, layers, conformed, CUSTOMER_KEY), layers.anchor)
+    return silver.join(touched.select(table.key).distinct(), table.key, "left_semi")

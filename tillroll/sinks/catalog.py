@@ -16,13 +16,17 @@ Partition = tuple[int | None, ...]
 
 @dataclass(frozen=True)
 class LayerTable:
-    """A published table. `path` holds one folder per version, and the catalog says which counts."""
+    """A published table. `path` holds one folder per version, and the catalog says which counts.
+
+    With `manifest`, every write keeps the file lists for external readers in step.
+    """
 
     name: str
     path: str
     schema: T.StructType
     key: str
     partition_by: tuple[str, ...] = ()
+    manifest: bool = False
 
 
 def create_database(spark: SparkSession, database: str) -> None:

@@ -13,7 +13,7 @@ from tillroll.plans.run import Layers, ingest, run_file
 from tillroll.plans.sales import sales
 from tillroll.session import scratch_path
 from tillroll.sinks.catalog import create_database
-from tillroll.sinks.manifest import read_manifest, write_manifest
+from tillroll.sinks.manifest import read_manifest
 from tillroll.sinks.merge import merge_into
 from tillroll.sources.bronze_files import read_bronze
 from tillroll.sources.landing import scan_csv
@@ -91,7 +91,6 @@ def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per day in the files that the manifest lists."""
     spark = _writer(spark)
     table = _published_sales(spark, sf_dir).sales
-    write_manifest(spark, table)
     listed = read_manifest(spark, table).select("file_path").distinct()
     stored = spark.table(table.name).select("_metadata.file_path", *DAY_COLUMNS)
     return (
