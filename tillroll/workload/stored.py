@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from tillroll.plans.bronze import bronze_slice
 from tillroll.plans.run import Layers, ingest, run_file
 from tillroll.plans.sales import sales
 from tillroll.session import scratch_path
-from tillroll.sinks.catalog import create_database
+from tillroll.sinks.catalog import LayerTable, create_database
 from tillroll.sinks.manifest import read_manifest
 from tillroll.sinks.merge import merge_into
 from tillroll.sources.bronze_files import read_bronze
@@ -70,16 +71,16 @@ def _new_layers(spark: SparkSession) -> Layers:
     return layers
 
 
-def _published_sales(spark: SparkSession, sf_dir: str) -> Layers:
-    layers = _new_layers(spark)
-    merge_into(spark, layers.sales, sales(inputs.silver(spark, sf_dir)))
-    return layers
+def _published_sales(spark: SparkSession, sf_dir: str, manifest: bool) -> LayerTable:
+    table = replace(_new_layers(spark).sales, manifest=manifest)
+    merge_into(spark, table, sales(inputs.silver(spark, sf_dir)))
+    return table
 
 
 def catalog_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order fact as an external table serves it."""
     spark = _writer(spark)
-    return spark.table(_published_sales(spark, sf_dir).sales.name)
+    return spark.table(_published_sales(spark, sf_dir, manifest=False).name)
 
 
 def gold_sales_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +91,7 @@ def gold_sales_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per day in the files that the manifest lists."""
     spark = _writer(spark)
-    table = _published_sales(spark, sf_dir).sales
+    table = _published_sales(spark, sf_dir, manifest=True)
     listed = read_manifest(spark, table).select("file_path").distinct()
     stored = spark.table(table.name).select("_metadata.file_path", *DAY_COLUMNS)
     return (
