@@ -68,7 +68,11 @@ def test_upsert_rejects_two_source_rows_for_one_target_row(spark):
         upsert(t, twice, "k").collect()
     # Unmatched copies are two inserts, not an error.
     other = spark.createDataFrame([(2, "b", 1), (2, "c", 1)], DDL)
-    assert rows_of(upsert(t, other, "k")) == [(1, "a", 1), (2, "b", 1), (2, "c", 1)]
+    merged = upsert(t, other, "k")
+    assert rows_of(merged) == [(1, "a", 1), (2, "b", 1), (2, "c", 1)]
+    # Filters on the result must not carry the check to rows it is not about.
+    assert rows_of(merged.filter("k = 2 and b = 1")) == [(2, "b", 1), (2, "c", 1)]
+    assert merged.filter("k is null").isEmpty()
 
 
 def test_a_source_of_copies_is_added_whole_when_unmatched(spark):

@@ -1,0 +1,77 @@
+"""A third of all rows on one key or day must not land in one task."""
+
+from __future__ import annotations
+
+from contextlib import contextmanager
+
+from pyspark.sql import functions as F
+
+from tillroll.operators.upsert import upsert
+from tillroll.sinks.staging import write_counted
+
+
+@contextmanager
+def settings(spark, **values):
+    """Thresholds small enough for test data; a cluster keeps the defaults."""
+    names = {f"spark.sql.{name.replace('__', '.')}": value for name, value in values.items()}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 300_000, 1, 8).select(
+        F.col("id"), F.xxhash64("id").alias("payload"),
+        F.when(F.col("id") % 3 != 0, 2000 + F.col("id") % 5).cast("int").alias("year"),
+    )
+    with settings(spark, adaptive__advisoryPartitionSizeInBytes="128KB"):
+        seen = write_counted(rows, str(tmp_path / "t"), ("year",), "id")
+    assert seen["rows"] == 300_000
+    hot = list((tmp_path / "t" / "year=__HIVE_DEFAULT_PARTITION__").glob("*.parquet"))
+    assert len(hot) > 2
+    assert spark.read.parquet(str(tmp_path / "t")).filter("year is null").count() == 100_000
+
+
+def test_a_hot_key_in_the_upsert_target_is_split(spark):
+    number = F.col("id")
+    target = spark.range(0, 200_000, 1, 8).select(
+        F.when(number % 3 == 0, 7).otherwise(number).cast("int").alias("k"),
+        F.xxhash64("id").alias("a"), F.col("id").alias("b"),
+    )
+    source = spark.range(0, 50_000, 1, 4).select(
+        number.cast("int").alias("k"), F.lit(-1).cast("long").alias("a"), number.alias("b")
+    )
+    with settings(
+        spark,
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="128KB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+    ):
+        merged = upsert(target, source, "k")
+        hot = merged.groupBy((F.col("k") == 7).alias("hot"), (F.col("a") == -1).alias("new")).count()
+        counts = {(row.hot, row.new): row["count"] for row in hot.collect()}
+        plan = hot._jdf.queryExecution().executedPlan().toString()
+    assert counts[(True, True)] == 66_668
+    assert (True, False) not in counts
+    assert "skew=true" in plan
+
+
+def test_rows_without_key_are_spread(spark):
+    target = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, F.col("id")).cast("int").alias("k"), F.col("id").alias("b")
+    )
+    source = target.filter("k % 10 = 0")
+    with settings(
+        spark,
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__coalescePartitions__enabled="false",
+    ):
+        merged = upsert(target, source, "k").filter("k is null")
+        sizes = merged.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(row["count"] for row in sizes) == 20_000
+    assert len(sizes) == 4 and max(row["count"] for row in sizes) < 7_000

@@ -7,7 +7,7 @@ NULL key matches nothing: such target rows stay and such source rows are always
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows without a key match nothing, so they may go anywhere; this many join partitions
@@ -16,7 +16,6 @@ KEYLESS_SPREAD = 4096
 
 SPREAD = "_spread"
 MATCHED = "_matched"
-AMBIGUOUS = "_ambiguous"
 
 
 def _spread(frame: DataFrame, key: str) -> DataFrame:
@@ -32,7 +31,7 @@ def matched_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 def repeated_keys(source: DataFrame, key: str) -> DataFrame:
     """Keys of several source rows; counted per task first, so a hot key moves as one row."""
     counted = source.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counted.filter(F.col(key).isNotNull() & (F.col("n") > 1)).select(key)
+    return counted.filter(F.col(key).isNotNull() & (F.col("n") > 1))
 
 
 def upsert(
@@ -41,35 +40,44 @@ def upsert(
     """The target after the upsert, with the target's columns.
 
     `matched` may bring the source keys that the target holds, if they are known. Fails while
-    running if several source rows match one target row. In every join the rows that may be
-    many are on the left, where AQE broadcasts a right side that proved small and splits a
-    hot key otherwise.
+    running if several source rows match one target row. The sides of each join are shuffled
+    for that join alone, and the one that may hold a hot key is on the left: only so can AQE
+    split the key, or broadcast a right side that proved small.
     """
     columns = target.columns
     keys = [key, SPREAD]
     incoming = _spread(source.select(*columns), key)
-    repeated = repeated_keys(source, key).select(
-        key, F.lit(0).alias(SPREAD), F.lit(True).alias(AMBIGUOUS)
+    renamed = incoming.select(
+        *(F.col(name).alias(f"_new_{name}") for name in columns), *keys, F.lit(True).alias(MATCHED)
     )
-    marked = incoming.join(repeated, keys, "left").withColumn(MATCHED, F.lit(True))
-    renamed = marked.select(
-        *(F.col(name).alias(f"_new_{name}") for name in columns), *keys, MATCHED, AMBIGUOUS
-    )
-
-    def value(name: str) -> Column:
-        updated = F.when(F.col(MATCHED), F.col(f"_new_{name}")).otherwise(F.col(name))
-        return (_checked(updated, key) if name == key else updated).alias(name)
-
     joined = _spread(target, key).join(renamed, keys, "left")
-    updated = joined.select(*(value(name) for name in columns))
+    updated = joined.select(
+        *(
+            F.when(F.col(MATCHED), F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
+            for name in columns
+        )
+    )
 
     if matched is None:
         matched = matched_keys(target, source, key)
     held = matched.select(key, F.lit(0).alias(SPREAD))
     added = incoming.join(held, keys, "left_anti").select(*columns)
-    return updated.unionByName(added)
+    return updated.unionByName(added).unionByName(_no_ambiguity(source, matched, columns, key))
 
 
-def _checked(updated_key: Column, key: str) -> Column:
+def _no_ambiguity(
+    source: DataFrame, matched: DataFrame, columns: list[str], key: str
+) -> DataFrame:
+    """No rows; an error if a matched key has several source rows.
+
+    The error depends on counts from both sides of the join, so that no optimizer rule can
+    move it to where unmatched or single keys still are.
+    """
+    hits = matched.groupBy(key).agg(F.count(F.lit(1)).alias("hits"))
+    both = repeated_keys(source, key).join(hits, key)
     text = F.concat(F.lit(f"several source rows match {key} "), F.col(key).cast("string"))
-    return F.when(F.col(AMBIGUOUS), F.raise_error(text)).otherwise(updated_key)
+    ambiguous = (F.col("n") > 1) & (F.col("hits") > 0)
+    nothing = both.filter(F.when(ambiguous, F.raise_error(text)).isNotNull())
+    return nothing.select(
+        *(F.lit(None).cast(source.schema[name].dataType).alias(name) for name in columns)
+    )
