@@ -48,7 +48,7 @@ class Layers:
 
     @property
     def touched(self) -> str:
-        return f"{self.root}/touched/orders"
+        return f"{self.root}/touched"
 
     @property
     def silver(self) -> LayerTable:
@@ -139,26 +139,29 @@ def _keyed(silver: DataFrame, key: str) -> DataFrame:
 
 def _record_touched(
     spark: SparkSession, layers: Layers, landing_id: str, found: Match
-) -> DataFrame:
-    """Orders and customers whose gold rows the upsert may change.
+) -> dict[str, DataFrame]:
+    """The orders and the customers whose gold rows the upsert may change, by key column.
 
     Both the new rows and the ones they replace count: a line that moves to another customer
     changes the old customer's numbers too. The keys are stored before silver changes and
     stay with the landing file, so a run that dies afterwards still finds them when repeated.
     """
-    keys = found.source.select(SALES_KEY, CUSTOMER_KEY)
-    if found.matched is not None:
-        keys = keys.union(found.matched.select(SALES_KEY, CUSTOMER_KEY))
-    path = f"{layers.touched}/{INGEST_ID}={landing_id}"
-    keys.distinct().write.mode("append").parquet(path)
-    return spark.read.schema(keys.schema).parquet(path)
+    touched = {}
+    for key in (SALES_KEY, CUSTOMER_KEY):
+        keys = found.source.select(key)
+        if found.matched is not None:
+            keys = keys.union(found.matched.select(key))
+        path = f"{layers.touched}/{key}/{INGEST_ID}={landing_id}"
+        keys.distinct().write.mode("append").parquet(path)
+        touched[key] = spark.read.schema(keys.schema).parquet(path)
+    return touched
 
 
 def _touched(
-    spark: SparkSession, layers: Layers, table: LayerTable, touched: DataFrame
+    spark: SparkSession, layers: Layers, table: LayerTable, touched: dict[str, DataFrame]
 ) -> DataFrame:
     """All silver rows of the touched keys; any other key's gold row stays what it is."""
     silver = _keyed(spark.table(layers.silver.name), table.key)
     if not spark.catalog.tableExists(table.name):
         return silver
-    return silver.join(touched.select(table.key).distinct(), table.key, "left_semi")
+    return silver.join(touched[table.key], table.key, "left_semi")
