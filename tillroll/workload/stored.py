@@ -8,6 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.cleaning import landing_date
 from tillroll.layers import DAY_COLUMNS, SOURCE_FILE
 from tillroll.plans.bronze import bronze_slice
 from tillroll.plans.run import Layers, ingest, run_file
@@ -49,8 +50,12 @@ def _write_csv(rows: DataFrame, path: str) -> str:
 
 
 def _write_landing_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
-    """Key -> folder of its CSV text, for the two landing files."""
+    """Key -> folder of its CSV text, for the two landing files.
+
+    Each part covers its own stretch of days, as files that land one after the other do.
+    """
     rows = inputs.landing(spark, sf_dir)
+    rows = rows.repartitionByRange(landing_date(F.col("order_date")), "row_id")
     return {
         key: _write_csv(bronze_slice(rows, key).drop(SOURCE_FILE), f"{folder}/{key}")
         for key in (inputs.FIRST_FILE, inputs.SECOND_FILE)
