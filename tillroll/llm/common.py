@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ SEPARATORS = "\t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship(module: str) -> None:
+    """Send the module's functions with each task, so executors need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` over a value that is computed once per row, however often `body` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import line_dedup, quality
-from tillroll.llm.common import documents
+from tillroll.llm import line_dedup, mixing, quality, simhash
+from tillroll.llm.common import documents, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,8 +34,29 @@ def line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(docs).select("doc_id", "n_removed", "text")
 
 
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = staged(spark, mixing.measured(documents(spark, sf_dir)), "sizes")
+    solved, changes = mixing.copies(spark, rows)
+    return mixing.with_copies(rows, solved, changes).select(
+        F.col("document.id").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+        "copies",
+    )
+
+
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(spark, documents(spark, sf_dir), shingle=3, max_bits=3)
+    fingerprint = F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint")
+    return found.select("doc_id", fingerprint, "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": quality_rules,
+        "op2_source_mix": source_mix,
+        "op9_simhash": simhash_groups,
         "op10_line_dedup": line_windows,
     }
