@@ -34,9 +34,9 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def unused_name(frame: DataFrame, wish: str) -> str:
-    """A column name that the frame doesn't have yet, whatever columns it brings."""
-    taken = {name.lower() for name in frame.columns}
+def unused_name(columns: list[str], wish: str) -> str:
+    """A column name that isn't taken yet, whatever columns an input brings."""
+    taken = {name.lower() for name in columns}
     while wish.lower() in taken:
         wish += "_"
     return wish

@@ -84,7 +84,7 @@ def without_repeats(
 
     That column is named `n_removed`, with underscores added if `docs` has one of that name.
     """
-    document, covered = unused_name(docs, "document"), unused_name(docs, "covered")
+    document, covered = unused_name(docs.columns, "document"), unused_name(docs.columns, "covered")
     lost = covered_lines(docs, doc_id, text, size).toDF(document, covered)
     keyed = docs.withColumn(document, _document(docs, doc_id, text))
 
@@ -96,5 +96,5 @@ def without_repeats(
     # Structs compare their NULL fields as equal, so a NULL id finds its rows too.
     return keyed.join(lost, document, "left").select(
         *(cut.alias(name) if name == text else F.col(f"`{name}`") for name in docs.columns),
-        F.coalesce(F.size(covered), F.lit(0)).cast("long").alias(unused_name(docs, "n_removed")),
+        F.coalesce(F.size(covered), F.lit(0)).cast("long").alias(unused_name(docs.columns, "n_removed")),
     )

@@ -148,5 +148,5 @@ def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows whose text breaks no rule, with their columns as they were."""
-    name = unused_name(docs, "quality")
+    name = unused_name(docs.columns, "quality")
     return docs.withColumn(name, verdict(F.col(text), rules)).filter(F.col(name)["kept"]).drop(name)

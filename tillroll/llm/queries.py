@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import line_dedup, mixing, quality, simhash
+from tillroll.llm import bpe, line_dedup, mixing, quality, simhash, token_file
 from tillroll.llm.common import documents, staged
+from tillroll.session import scratch_path
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +51,27 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_digests(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Digests of each text's ids and of the text that they decode to."""
+    tokens = bpe.decode(bpe.encode(docs, TOKENIZER, keep=keep), TOKENIZER)
+    return tokens.select(
+        *keep,
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(documents(spark, sf_dir), ["doc_id"])
+
+
+def token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_file.write(documents(spark, sf_dir), path, TOKENIZER)
+    return token_file.documents_in(spark, path)
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, documents(spark, sf_dir), shingle=3, max_bits=3)
     fingerprint = F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint")
@@ -57,6 +82,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": quality_rules,
         "op2_source_mix": source_mix,
+        "op4_bpe": bpe_round_trip,
+        "op6_token_blocks": token_blocks,
         "op9_simhash": simhash_groups,
         "op10_line_dedup": line_windows,
     }

@@ -227,7 +227,7 @@ def keep_one(
     It is the one with the smallest id (NULL last); rows with one id are ordered by hashes of
     their text and of their other columns. Of rows alike in all columns one stays.
     """
-    name = unused_name(docs, "document")
+    name = unused_name(docs.columns, "document")
     others = [F.col(f"`{column}`") for column in docs.columns if column not in (doc_id, text)]
     key = text_key(F.col(text))
     document = F.struct(
