@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, line_dedup, mixing, quality, simhash, token_file
+from tillroll.llm import bpe, language, line_dedup, mixing, quality, secrets, simhash, token_file
 from tillroll.llm.common import documents, staged
 from tillroll.session import scratch_path
 
@@ -72,6 +72,34 @@ def token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.documents_in(spark, path)
 
 
+def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("secrets")
+    base = F.filter(spans, lambda span: span["kind"] != "random")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda span: F.concat_ws(":", span["kind"], span["start"], span["end"])), ",")
+
+    def number(kind: str):
+        return F.size(F.filter(spans, lambda span: span["kind"] == kind)).cast("long")
+
+    return secrets.find_secrets(documents(spark, sf_dir), keep=["doc_id"]).select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(spans).alias("spans"),
+        number("random").alias("n_random"),
+    )
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    held_out = F.coalesce(number == 2, F.lit(False))
+    model = language.learn(docs.filter(~held_out))
+    found = language.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model, keep=["doc_id", "held_out"])
+    return found.withColumn("languages", F.array_join("languages", ","))
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, documents(spark, sf_dir), shingle=3, max_bits=3)
     fingerprint = F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint")
@@ -83,6 +111,8 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": quality_rules,
         "op2_source_mix": source_mix,
         "op4_bpe": bpe_round_trip,
+        "op5_secrets": secret_spans,
+        "op8_languages": languages,
         "op6_token_blocks": token_blocks,
         "op9_simhash": simhash_groups,
         "op10_line_dedup": line_windows,
