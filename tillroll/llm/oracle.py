@@ -61,6 +61,29 @@ SELECT doc_id, coalesce(n_removed, 0) AS n_removed, kept AS text
 FROM documents LEFT JOIN cut USING (doc_id)
 """
 
+_CHAT = r"""
+WITH said AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text
+  FROM conversations
+), people AS (
+  SELECT DISTINCT conv_id, speaker AS participant FROM said
+), parts AS (
+  SELECT conv_id, participant, coalesce(floor(turn / 64), -1)::BIGINT AS block, turn, speaker, text,
+         speaker = participant AS own,
+         CASE WHEN own THEN '<|assistant|>' || chr(10) ELSE '<|user|> ' || speaker || chr(10) END AS head,
+         text || '<|end|>' || chr(10) AS body
+  FROM said JOIN people USING (conv_id)
+), placed AS (
+  SELECT *, sum(length(head || body)) OVER (
+           PARTITION BY conv_id, participant, block ORDER BY turn NULLS FIRST, speaker, text)::BIGINT AS stop
+  FROM parts
+)
+SELECT conv_id, participant, block, count(*) AS n_turns,
+       string_agg(head || body, '' ORDER BY turn NULLS FIRST, speaker, text) AS rendered,
+       coalesce(string_agg((stop - length(body)) || ':' || stop, ',' ORDER BY stop) FILTER (own), '') AS masks
+FROM placed GROUP BY conv_id, participant, block
+"""
+
 
 def _rule(rule) -> str:
     whole = rule.whole or "1"
@@ -74,5 +97,6 @@ def oracles() -> dict[str, str]:
     rules = " AND ".join(_rule(rule) for rule in RULES)
     return {
         "op1_quality_rules": _QUALITY.format(stop=stop, rules=rules),
+        "op3_chat_rotation": _CHAT,
         "op10_line_dedup": _LINES,
     }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, language, line_dedup, mixing, quality, secrets, simhash, token_file
+from tillroll.llm import bpe, chat, language, lattice, line_dedup, mixing, quality, secrets, simhash, token_file
 from tillroll.llm.common import documents, staged
 from tillroll.session import scratch_path
 
@@ -100,6 +100,17 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("languages", F.array_join("languages", ","))
 
 
+def chat_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    masks = F.transform("masks", lambda mask: F.concat_ws(":", mask["start"], mask["end"]))
+    views = chat.rotate(rows).drop("number", "lane")
+    return views.withColumn("masks", F.array_join(masks, ","))
+
+
+def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, documents(spark, sf_dir), shingle=3, max_bits=3)
     fingerprint = F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint")
@@ -110,6 +121,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": quality_rules,
         "op2_source_mix": source_mix,
+        "op3_chat_rotation": chat_views,
+        "op7_lattice": embedding_groups,
         "op4_bpe": bpe_round_trip,
         "op5_secrets": secret_spans,
         "op8_languages": languages,
