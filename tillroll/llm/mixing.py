@@ -34,6 +34,7 @@ WEIGHTS = 3
 STEPS = 60
 TOLERANCE = 1e-7
 REPAIRS = 8
+LANES = 8
 _UNIT = 1e6
 
 
@@ -168,8 +169,9 @@ def _first_copies(rows: DataFrame, solved: DataFrame) -> DataFrame:
 def repairs(spark: SparkSession, rows: DataFrame, solved: DataFrame) -> DataFrame:
     """(document, change): copies to add or take back, at most REPAIRS documents per source.
 
-    For each size one document that may gain a copy and one that may lose one stand by; each
-    round picks, per source, the one that brings the taken words nearest to the target.
+    For each size up to LANES documents that may gain a copy, and as many that may lose one,
+    stand by; each round picks, per source, the one that brings the taken words nearest to the
+    target.
     """
     units = rows.groupBy("document", "origin", "size").agg(F.count(F.lit(1)).alias("n"))
     taken = staged(
@@ -184,7 +186,7 @@ def repairs(spark: SparkSession, rows: DataFrame, solved: DataFrame) -> DataFram
         spark,
         taken.select("document", "origin", "size", "n", "copies", moves.alias("change"))
         .filter((F.col("copies") + F.col("change")).between(0, CAP))
-        .groupBy("origin", "size", "n", "change")
+        .groupBy("origin", "size", "n", "change", F.pmod(F.xxhash64("document"), F.lit(LANES)))
         .agg(F.min("document").alias("document"))
         .select("origin", "document", "change", (F.col("change") * F.col("size") * F.col("n")).alias("words")),
         "standby",

@@ -41,6 +41,7 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
+SHORTEST = 20
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ASSIGNED = 6
 KEYWORDS = ("password", "passwd", "secret", "token", "api")
@@ -142,8 +143,9 @@ def text_chance(string: str) -> float:
 
 def discoveries(strings: list[str]) -> list[int]:
     """Which of a text's strings are random: the battery, then weighted false-discovery control."""
-    tested = [(i, string, encoding_of(string.rstrip("="))) for i, string in enumerate(strings)]
-    tested = [(i, string.rstrip("="), kind) for i, string, kind in tested if kind]
+    bare = [(i, string.rstrip("=")) for i, string in enumerate(strings)]
+    tested = [(i, string, encoding_of(string)) for i, string in bare if len(string) >= SHORTEST]
+    tested = [(i, string, kind) for i, string, kind in tested if kind]
     if not tested:
         return []
     mean = sum(len(string) for _, string, _ in tested) / len(tested)
@@ -165,7 +167,7 @@ def scan(text: str) -> list[tuple[str, int, int]]:
                 found.append((match.start(), 0, match.end()))
     if "AKIA" in text:
         found += [(match.start(), 1, match.end()) for match in ACCESS.finditer(text)]
-    if max(map(len, text.split()), default=0) >= 20:
+    if max(map(len, text.split()), default=0) >= SHORTEST:
         found += [(match.start(), 2, match.end()) for match in HEX.finditer(text)]
         found += [(start, 3, end) for start, end in _random(text, found)]
     return [(KINDS[kind], start, end) for start, kind, end in sorted(found)]
