@@ -169,6 +169,7 @@ def library():
 def test_encoding_equals_the_library(spark, docs, nothing, library):
     tokens = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
     assert tokens.columns == [*docs.columns, "ids", "decoded"]
+    assert rows_of(tokens) == rows_of(bpe.round_trip(docs, TOKENIZER))
     for row in tokens.collect():
         expected = library.encode(row.text or "", add_special_tokens=False).ids
         assert row.ids == expected

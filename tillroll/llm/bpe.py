@@ -20,7 +20,7 @@ from __future__ import annotations
 import codecs
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -176,25 +176,35 @@ def load(path: str) -> str:
         return file.read()
 
 
-def _with_column(frame: DataFrame, source: str, into: str, kind: str, keep: list[str] | None, work) -> DataFrame:
-    """`frame` with a last column worked out from `source`, batch by batch, in bounded slices."""
+def _with_columns(
+    frame: DataFrame, source: str, into: dict[str, str], keep: list[str] | None, work: Callable
+) -> DataFrame:
+    """`frame` with last columns (name to type) worked out from `source`, in bounded slices."""
     names = frame.columns if keep is None else keep
     # Python sees numbered columns, so that those of the frame can have any names.
-    kept = frame.select(*(F.col(f"`{name}`").alias(f"kept_{i}") for i, name in enumerate(names)))
-    rows = frame.select(
-        *(F.col(f"`{name}`").alias(f"kept_{i}") for i, name in enumerate(names)), F.col(f"`{source}`").alias("given")
-    )
-    fields = kept.withColumn("made", F.lit(None).cast(kind)).schema
+    same = [F.col(f"`{name}`").alias(f"kept_{i}") for i, name in enumerate(names)]
+    rows = frame.select(*same, F.col(f"`{source}`").alias("given"))
+    made = [F.lit(None).cast(kind).alias(f"made_{i}") for i, kind in enumerate(into.values())]
+    fields = frame.select(*same, *made).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = work()
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
-                *same, values = batch.slice(start, SLICE).columns
-                yield pa.RecordBatch.from_arrays([*same, compute(values)], names=fields.names)
+                *kept, values = batch.slice(start, SLICE).columns
+                yield pa.RecordBatch.from_arrays([*kept, *compute(values)], names=fields.names)
+
+    return rows.mapInArrow(run, fields).toDF(*names, *(unused_name(names, name) for name in into))
+
+
+def _encoded(codec: Codec, texts: pa.Array) -> list[np.ndarray]:
+    return [codec.encode(text or "") for text in texts.to_pylist()]
 
-    made = rows.mapInArrow(run, fields)
-    return made.toDF(*names, unused_name(names, into))
+
+def _id_lists(found: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    ids = np.concatenate([np.empty(0, np.uint32), *found]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
 
 
 def encode(
@@ -205,16 +215,9 @@ def encode(
 
     def work():
         codec = Codec(tokenizer)
+        return lambda texts: [_id_lists(_encoded(codec, texts))]
 
-        def compute(texts: pa.Array) -> pa.Array:
-            found = [codec.encode(text or "") for text in texts.to_pylist()]
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            ids = np.concatenate([np.empty(0, np.uint32), *found]).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
-
-        return compute
-
-    return _with_column(docs, text, into, "array<int>", keep, work)
+    return _with_columns(docs, text, {into: "array<int>"}, keep, work)
 
 
 def decode(
@@ -229,6 +232,22 @@ def decode(
         def one(ids: pa.ListScalar) -> str | None:
             return codec.decode(ids.values.to_numpy(zero_copy_only=False)) if ids.is_valid else None
 
-        return lambda lists: pa.array([one(ids) for ids in lists], pa.string())
+        return lambda lists: [pa.array([one(ids) for ids in lists], pa.string())]
+
+    return _with_columns(tokens, ids, {into: "string"}, keep, work)
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """`decode` after `encode`, as columns `ids` and `decoded`, in one Python worker per task."""
+    tokenizer = load(path)
+
+    def work():
+        codec = Codec(tokenizer)
+
+        def both(texts: pa.Array) -> list[pa.Array]:
+            found = _encoded(codec, texts)
+            return [_id_lists(found), pa.array([codec.decode(ids) for ids in found], pa.string())]
+
+        return both
 
-    return _with_column(tokens, ids, into, "string", keep, work)
+    return _with_columns(docs, text, {"ids": "array<int>", "decoded": "string"}, keep, work)

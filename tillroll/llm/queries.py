@@ -53,8 +53,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_digests(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Digests of each text's ids and of the text that they decode to."""
-    tokens = bpe.decode(bpe.encode(docs, TOKENIZER, keep=keep), TOKENIZER)
-    return tokens.select(
+    return bpe.round_trip(docs, TOKENIZER, keep=keep).select(
         *keep,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
