@@ -7,7 +7,7 @@ import pytest
 from conftest import rows_of
 from tillroll.plans.bronze import bronze_rows
 from tillroll.sources.events import event_records, malformed_count, runnable_keys, started_count
-from tillroll.sources.landing import check_landing_columns, fold_headers, scan_csv
+from tillroll.sources.landing import check_landing_columns, folded_names, scan_csv
 
 HEADER = "Row ID,Order ID,Order Date,Customer ID,Sub-Category"
 
@@ -32,10 +32,18 @@ def test_scan_options_for_quoted_text(spark, tmp_path):
     assert rows_of(frame) == [("1", "two\nlines"), ("2", 'say "hi"')]
 
 
-def test_headers_that_fold_to_one_name_are_an_error(spark):
-    frame = spark.createDataFrame([("a", "b")], "`Order ID` string, order_id string")
-    with pytest.raises(ValueError, match="order_id"):
-        fold_headers(frame)
+@pytest.mark.parametrize("header", ["City,City", "City,city", "Order ID,order_id", "a, A "])
+def test_headers_that_fold_to_one_name_are_an_error(spark, tmp_path, header):
+    uri = write(tmp_path / "a.csv", f"Row ID,{header}\n1,a,b\n")
+    with pytest.raises(ValueError, match="same name"):
+        scan_csv(spark, uri)
+
+
+def test_header_rows(spark, tmp_path):
+    assert folded_names(["Row ID", None, " City "]) == ["row_id", "_c1", "city"]
+    assert scan_csv(spark, write(tmp_path / "empty.csv", "")).columns == []
+    only = scan_csv(spark, write(tmp_path / "only.csv", "A B,C\n"))
+    assert only.columns == ["a_b", "c"] and only.count() == 0
 
 
 @pytest.mark.parametrize(
@@ -73,11 +81,14 @@ def test_events(spark):
         "{}",
         '{"Records":[]}',
         "not json",
+        json.dumps({"Records": [record("landing/cut.csv")]})[:-3],
+        None,
     ]
     events = spark.createDataFrame([(b,) for b in bodies], "value string")
     keys = runnable_keys(events)
     assert rows_of(keys) == [("b", "landing/a b.CSV"), ("b", "landing/x.csv")]
     assert started_count(keys).collect()[0].started == 2
-    assert malformed_count(events).collect()[0].malformed == 2
+    # Two records lack something, two bodies are damaged, one is missing.
+    assert malformed_count(events).collect()[0].malformed == 5
     assert event_records(events).count() == 9
     assert rows_of(runnable_keys(events, prefix="in/")) == [("b", "in/x.csv")]

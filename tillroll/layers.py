@@ -51,6 +51,8 @@ GOLD_CUSTOMER = _struct(
     orders_last_month=COUNT, orders_last_6_months=COUNT, orders_all_time=COUNT,
 )
 
-# An object-created notification; other fields are ignored.
+# An object-created notification; other fields are ignored. Text that is no whole JSON value
+# lands in the last field.
 _S3 = _struct(bucket=_struct(name=TEXT), object=_struct(key=TEXT))
-OBJECT_EVENT = _struct(Records=T.ArrayType(_struct(s3=_S3)))
+DAMAGED = "_damaged"
+OBJECT_EVENT = _struct(Records=T.ArrayType(_struct(s3=_S3)), **{DAMAGED: TEXT})

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tillroll.layers import REQUIRED_COLUMNS, RESERVED_COLUMNS
 
@@ -13,13 +15,16 @@ def folded(header: str) -> str:
     return header.strip().lower().replace(" ", "_")
 
 
-def fold_headers(frame: DataFrame) -> DataFrame:
-    """Rename all columns at once; two headers that fold to one name are an error."""
-    names = [folded(name) for name in frame.columns]
+def folded_names(headers: list[str | None]) -> list[str]:
+    """Column names for a header row; two headers that fold to one name are an error.
+
+    A header without text names its column by its place.
+    """
+    names = [folded(header or "") or f"_c{i}" for i, header in enumerate(headers)]
     clashes = sorted(name for name, n in Counter(names).items() if n > 1)
     if clashes:
         raise ValueError(f"headers fold to the same name: {clashes}")
-    return frame.toDF(*names)
+    return names
 
 
 def check_landing_columns(frame: DataFrame) -> None:
@@ -31,15 +36,27 @@ def check_landing_columns(frame: DataFrame) -> None:
         raise ValueError(f"landing file uses reserved columns: {taken}")
 
 
+def literal_path(path: str) -> str:
+    """The path with its glob characters escaped: it names one file, whatever its name holds."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
 def scan_csv(
     spark: SparkSession, uri: str, *, multi_line: bool = False, escape: str | None = None
 ) -> DataFrame:
-    """One landing file with folded headers.
+    """One landing file (or folder of its parts) with folded headers.
 
+    The header row is read as data first, so that Spark can't rename repeated headers.
     `multi_line` reads quoted line breaks but keeps Spark from splitting a file over tasks;
     `escape='"'` reads doubled quotes.
     """
-    reader = spark.read.options(header=True, inferSchema=False, multiLine=multi_line)
+    reader = spark.read.options(multiLine=multi_line)
     if escape is not None:
         reader = reader.option("escape", escape)
-    return fold_headers(reader.csv(uri))
+    path = literal_path(uri)
+    headers = reader.option("header", False).csv(path).take(1)
+    names = folded_names(list(headers[0])) if headers else []
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    if not names:
+        return spark.createDataFrame([], schema)
+    return reader.schema(schema).option("header", True).csv(path)
