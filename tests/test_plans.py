@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
-from tillroll.layers import GOLD_CUSTOMER, GOLD_SALES, SILVER
-from tillroll.plans.customers import customer_metrics, customers, customers_by_join
+from tillroll.layers import CUSTOMER_KEY, GOLD_CUSTOMER, GOLD_SALES, SILVER
+from tillroll.plans.customers import customer_latest, customer_metrics, customers
 from tillroll.plans.sales import sales
 from tillroll.plans.silver import conform, keyed_rows, keyless_rows
 from tillroll.workload import inputs
@@ -82,6 +82,12 @@ WINDOW_ROWS = [
 ]
 
 
+def customers_by_join(silver, anchor):
+    """The customer rows from the latest attributes joined to the counts: two scans."""
+    joined = customer_latest(silver).join(customer_metrics(silver, anchor), CUSTOMER_KEY)
+    return joined.withColumnRenamed("segment", "customer_segment").select(*GOLD_CUSTOMER.names)
+
+
 @pytest.mark.parametrize("form", [customers, customers_by_join])
 def test_customer_windows(spark, form):
     frame = form(silver_of(spark, WINDOW_ROWS), ANCHOR)

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from tillroll.plans.customers import customers
-from tillroll.plans.run import Layers, refresh_gold, run_file
+from tillroll.plans.run import LandingFile, Layers, refresh_gold, run_file, run_files
 from tillroll.plans.sales import sales
 from tillroll.sinks.catalog import repair
-from tillroll.sinks.manifest import data_files, manifest_path, read_manifest
+from tillroll.sinks.manifest import manifest_path, read_manifest
 from tillroll.sinks.merge import merge_into
+from tillroll.sinks.slices import slice_ids
 from tillroll.sources.bronze_files import read_bronze, read_slice
 
 HEADER = "Row ID,Order ID,Order Date,Ship Date,Ship Mode,Customer ID,Customer Name,Segment,Country,City"
@@ -31,6 +32,18 @@ class Landing:
         path.write_text("\n".join([header, *lines]) + "\n")
         return run_file(self.spark, self.layers, str(path), "bucket", f"landing/{name}", at)
 
+    def run_all(self, files, at="2019-01-01T00:00:00+00:00"):
+        """`files` maps names to lines; all come in one batch."""
+        landed = []
+        for name, lines in files.items():
+            path = self.folder / name
+            path.write_text("\n".join([HEADER, *lines]) + "\n")
+            landed.append(LandingFile(str(path), "bucket", f"landing/{name}"))
+        return run_files(self.spark, self.layers, landed, at)
+
+    def tables(self):
+        return self.silver("*"), self.sales("*"), self.customers("*")
+
     def silver(self, *columns):
         return rows_of(self.spark.table(self.layers.silver.name).select(*columns))
 
@@ -48,7 +61,8 @@ class Landing:
         assert self.customers("*") == rows_of(customers(silver, self.layers.anchor))
         for table in (self.layers.sales, self.layers.customers):
             listed = {row.file_path for row in read_manifest(self.spark, table).collect()}
-            holding = {row.file_path for row in data_files(self.spark.table(table.name), table).collect()}
+            rows = self.spark.table(table.name).select("_metadata.file_path").distinct()
+            holding = {row.file_path for row in rows.collect()}
             assert holding <= listed
             extra = [path for path in listed - holding]
             assert not extra or self.spark.read.parquet(*extra).isEmpty()
@@ -188,7 +202,7 @@ def test_merge_refuses_keyless_rows(landing, spark):
 
 
 STEPS = [
-    "plans.run.merge_into", "sinks.merge.write_manifest", "sinks.merge.point_partitions",
+    "plans.run.keyless_rows", "plans.run._record_pending", "plans.run._settle_gold", "plans.run.merge_into", "sinks.merge.write_manifest", "sinks.merge.point_partitions", "sinks.merge.drop_partitions",
     "sinks.merge._append", "sinks.merge.point_table",
 ]
 
@@ -224,6 +238,91 @@ def test_first_gold_table_covers_files_whose_runs_died(landing, monkeypatch):
     landing.check_gold()
 
 
+@pytest.mark.parametrize("step", STEPS)
+def test_a_lost_run_is_mended_by_the_next_file(landing, monkeypatch, step):
+    """Gold follows silver after any later run, though the lost file's run is never repeated."""
+    landing.run("a.csv", line(1, "O1", "12/1/2018"), line(2, "O2", "12/2/2018"))
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(f"tillroll.{step}", lost)
+        with pytest.raises(RuntimeError):
+            landing.run("b.csv", line(2, "O2", "12/3/2018", "C2"), line(4, "O4", "12/4/2018", "C4"))
+    landing.run("c.csv", line(3, "O3", "12/2/2018", "C3"), line(4, "O4", "12/5/2018", "C4"))
+    assert landing.silver("row_id", "day") == [(1, 1), (2, 3), (3, 2), (4, 5)]
+    landing.check_gold()
+    assert slice_ids(landing.spark, landing.layers.unsettled) == []
+
+
+def test_a_changed_anchor_counts_all_customers_anew(landing):
+    landing.run("a.csv", line(1, "O1", "12/1/2018"), line(2, "O2", "12/2/2018", "C2"))
+    landing.layers = Layers(landing.layers.root, landing.layers.database, date(2019, 6, 1))
+    landing.run("b.csv", line(3, "O3", "1/2/2018"))
+    assert landing.customers("customer_id", "orders_last_month") == [("C1", 0), ("C2", 0)]
+    landing.check_gold()
+
+
+def test_a_batch_equals_its_files_one_by_one(spark, tmp_path, request):
+    files = {
+        "a.csv": [line(1, "O1", "12/1/2018"), line(2, "O2", "12/2/2018", "C2")],
+        "b.csv": [line(1, "O1", "12/3/2018", city="Oslo"), line(3, "O3", "12/2/2018", "C3"), line("x", "O9", "1/1/2018")],
+        "c.csv": [line(3, "O3", "bad", "C3", city=""), line(4, "O1", "12/1/2018", city="Bonn")],
+    }
+    (tmp_path / "one").mkdir()
+    (tmp_path / "all").mkdir()
+    apart, batch = (Landing(spark, tmp_path / name, f"t_batch_{name}") for name in ("one", "all"))
+    for name, lines in files.items():
+        apart.run(name, *lines)
+    report = batch.run_all(files)
+    assert batch.tables() == apart.tables()
+    assert (report.bronze, report.rejected, report.silver) == (7, 1, 4)
+    batch.check_gold()
+    # Again, and on top of what is there.
+    batch.run_all(dict(reversed(files.items())))
+    assert batch.silver("row_id", "city") == [(1, "Rome"), (2, "Rome"), (3, "Rome"), (4, "Bonn")]
+    batch.check_gold()
+
+
+def test_a_failed_replay_keeps_the_raw_rows(landing, spark, monkeypatch):
+    landing.run("a.csv", line(1, "O1", "12/1/2018"), line("x", "O2", "12/1/2018"))
+    bronze, rejects = landing.layers.bronze, landing.layers.rejects
+    before = rows_of(read_bronze(spark, bronze)), spark.table(rejects.name).count()
+
+    def failing(rows, key, at):
+        from tillroll.plans.bronze import bronze_rows
+
+        return bronze_rows(rows, key, at).withColumn("city", F.raise_error(F.lit("disk lost")))
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tillroll.plans.run.bronze_rows", failing)
+        with pytest.raises(Exception, match="disk lost"):
+            landing.run("a.csv", line(1, "O1", "12/1/2018"))
+    assert (rows_of(read_bronze(spark, bronze)), spark.table(rejects.name).count()) == before
+
+
+def test_a_replay_with_fewer_rows_drops_the_others(landing, spark):
+    landing.run("a.csv", line(1, "O1", "12/1/2018"), line("x", "O2", "12/1/2018"))
+    landing.run("a.csv", line(1, "O1", "12/1/2018"))
+    assert read_bronze(spark, landing.layers.bronze).count() == 1
+    assert spark.table(landing.layers.rejects.name).count() == 0
+
+
+def test_emptied_days_cost_no_job_each(landing, spark):
+    def jobs_for(days):
+        tracker, group = spark.sparkContext.statusTracker(), f"move-{days}"
+        landing.run(f"a{days}.csv", *(line(1000 * days + i, f"O{days}-{i}", f"{1 + i % 9}/{1 + i // 9}/201{days % 8}") for i in range(days)))
+        spark.sparkContext.setJobGroup(group, "moves rows out of their days")
+        landing.run(f"b{days}.csv", *(line(1000 * days + i, f"O{days}-{i}", "12/24/2018") for i in range(days)))
+        spark.sparkContext.setJobGroup("", "")
+        return len(tracker.getJobIdsForGroup(group))
+
+    few, many = jobs_for(3), jobs_for(27)
+    assert many <= few + 8
+    landing.check_gold()
+
+
 def test_pruned_read_touches_one_month(landing, spark):
     landing.run("a.csv", *(line(i, f"O{i}", f"{1 + i % 12}/1/2018") for i in range(24)))
     frame = spark.table(landing.layers.sales.name).filter("year = 2018 and month = 3")

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from tillroll.plans.run import Layers, ingest
+from tillroll.plans.run import Layers, ingest, run_files
 from tillroll.sources.bronze_files import read_bronze
 from tillroll.streaming.landing_stream import start
 
@@ -13,8 +13,8 @@ def test_each_csv_is_handed_on_once_across_restarts(spark, tmp_path):
     seen = []
 
     def run():
-        start(spark, str(folder), str(tmp_path / "checkpoint"),
-              lambda uri, key: seen.append(key)).awaitTermination()
+        start(spark, str(folder), str(tmp_path / "checkpoint"), "b",
+              lambda files: seen.extend(file.key for file in files)).awaitTermination()
 
     (folder / "a b+c.csv").write_text(HEADER)
     (folder / "sub" / "B.CSV").write_text(HEADER)
@@ -31,11 +31,29 @@ def test_headers_in_another_order_stay_right(spark, tmp_path):
     folder.mkdir()
     (folder / "a.csv").write_text(f"{HEADER}\n1,O1,1/2/2018,C1\n")
     (folder / "b c.csv").write_text("Customer ID,Row ID,City,Order Date,Order ID\nC2,2,Rome,1/3/2018,O2\n")
-    layers = Layers(str(tmp_path / "lake"))
-    start(spark, str(folder), str(tmp_path / "checkpoint"),
-          lambda uri, key: ingest(spark, layers, uri, "b", key, "now"), files_per_batch=2
-          ).awaitTermination()
+    layers = Layers(str(tmp_path / "lake"), "t_stream_headers")
+    start(spark, str(folder), str(tmp_path / "checkpoint"), "b",
+          lambda files: ingest(spark, layers, files, "now")).awaitTermination()
     rows = read_bronze(spark, layers.bronze).select("row_id", "order_id", "customer_id", "city", "day")
     assert sorted(tuple(r) for r in rows.collect()) == [
         ("1", "O1", "C1", None, 2), ("2", "O2", "C2", "Rome", 3),
     ]
+
+
+def test_names_with_glob_characters_name_one_file(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for i, name in enumerate(["a[1].csv", "a*.csv", "a1.csv", "{b,c}.csv", "d?.csv"]):
+        (folder / name).write_text(f"{HEADER}\n{i},O{i},1/2/2018,C{i}\n")
+    layers = Layers(str(tmp_path / "lake"), "t_stream_globs")
+    batches = []
+
+    def on_files(files):
+        batches.append(len(files))
+        run_files(spark, layers, files)
+
+    start(spark, str(folder), str(tmp_path / "checkpoint"), "b", on_files, files_per_batch=2).awaitTermination()
+    assert batches == [2, 2, 1]
+    rows = read_bronze(spark, layers.bronze).select("_source_file", "row_id").collect()
+    assert len(rows) == 5 and len({tuple(row) for row in rows}) == 5
+    assert sorted(row.row_id for row in spark.table(layers.silver.name).collect()) == [0, 1, 2, 3, 4]

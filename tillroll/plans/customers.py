@@ -60,9 +60,3 @@ def customers(silver: DataFrame, anchor: date = LATEST_DAY) -> DataFrame:
     )
     attributes = rolled.select("*", *(F.col(f"latest.{name}").alias(name) for name in ATTRIBUTES))
     return attributes.withColumnRenamed("segment", "customer_segment").select(*GOLD_CUSTOMER.names)
-
-
-def customers_by_join(silver: DataFrame, anchor: date = LATEST_DAY) -> DataFrame:
-    """The same rows from the latest attributes joined to the counts: two scans."""
-    joined = customer_latest(silver).join(customer_metrics(silver, anchor), CUSTOMER_KEY)
-    return joined.withColumnRenamed("segment", "customer_segment").select(*GOLD_CUSTOMER.names)

@@ -1,11 +1,13 @@
-"""One landing file through all layers."""
+"""Landing files through all layers."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.layers import (
     CUSTOMER_KEY,
@@ -14,21 +16,27 @@ from tillroll.layers import (
     GOLD_CUSTOMER,
     GOLD_SALES,
     INGEST_ID,
+    INGESTED_AT,
     LATEST_DAY,
     SALES_KEY,
     SILVER,
     SILVER_KEY,
 )
+from tillroll.operators.append import append_by_name
 from tillroll.plans.bronze import bronze_rows
 from tillroll.plans.customers import customers
 from tillroll.plans.sales import sales
 from tillroll.plans.silver import keyed_rows, keyless_rows
-from tillroll.sinks.catalog import LayerTable, create_database
+from tillroll.sinks.catalog import LayerTable, create_database, property_of, set_property
 from tillroll.sinks.merge import Match, apply_match, match, merge_into
-from tillroll.sinks.staging import write_counted
-from tillroll.sources.bronze_files import ingest_id, read_slice, write_slice
+from tillroll.sinks.slices import SliceTable, drop_slices, read_slices, slice_ids, write_slices
+from tillroll.sinks.staging import stage
+from tillroll.sources.bronze_files import ingest_id
 from tillroll.sources.landing import scan_csv
 
+# The customer table's property that holds the anchor day of its counts.
+ANCHOR = "anchor"
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -39,16 +47,21 @@ class Layers:
     anchor: date = LATEST_DAY
 
     @property
-    def bronze(self) -> str:
-        return f"{self.root}/bronze/orders"
+    def bronze(self) -> SliceTable:
+        return self._slices("bronze_orders", "bronze/orders")
 
     @property
-    def rejects(self) -> str:
-        return f"{self.root}/rejects/orders"
+    def rejects(self) -> SliceTable:
+        return self._slices("rejected_orders", "rejects/orders")
 
     @property
-    def touched(self) -> str:
-        return f"{self.root}/touched"
+    def unsettled(self) -> SliceTable:
+        """The files whose rows a run is bringing into silver, per run that has not done so."""
+        return self._slices("unsettled_files", "pending/files")
+
+    def pending(self, key: str) -> SliceTable:
+        """The keys whose gold rows a run has put out of date, per run that has not ended."""
+        return self._slices(f"pending_{key}", f"pending/{key}")
 
     @property
     def silver(self) -> LayerTable:
@@ -62,6 +75,9 @@ class Layers:
     def customers(self) -> LayerTable:
         return self._table("gold_customer", "gold/customer", GOLD_CUSTOMER, CUSTOMER_KEY, [], True)
 
+    def _slices(self, name: str, folder: str) -> SliceTable:
+        return SliceTable(f"{self.database}.{name}", f"{self.root}/{folder}")
+
     def _table(self, name, folder, schema, key, partition_by, manifest=False) -> LayerTable:
         return LayerTable(
             f"{self.database}.{name}", f"{self.root}/{folder}", schema, key,
@@ -80,18 +96,65 @@ class Report:
     customers: int = 0
 
 
+@dataclass(frozen=True)
+class LandingFile:
+    """Where a file can be read, and the bucket and key that name it."""
+
+    uri: str
+    bucket: str
+    key: str
+
+    @property
+    def id(self) -> str:
+        return ingest_id(self.bucket, self.key)
+
+
 def ingest(
-    spark: SparkSession,
-    layers: Layers,
-    uri: str,
-    bucket: str,
-    key: str,
-    ingested_at: str | None = None,
-) -> int:
-    """One landing file into the raw layer; returns its row count."""
+    spark: SparkSession, layers: Layers, files: list[LandingFile], ingested_at: str | None = None
+) -> dict[str, int]:
+    """Landing files into the raw layer, each by its own header; rows per file's id."""
+    create_database(spark, layers.database)
     ingested_at = ingested_at or datetime.now(timezone.utc).isoformat()
-    rows = bronze_rows(scan_csv(spark, uri), key, ingested_at)
-    return write_slice(rows, layers.bronze, bucket, key)
+    scans = [
+        bronze_rows(scan_csv(spark, file.uri), file.key, ingested_at).withColumn(INGEST_ID, F.lit(file.id))
+        for file in {file.id: file for file in files}.values()
+    ]
+    return write_slices(spark, layers.bronze, append_by_name(*scans), list({file.id: None for file in files}))
+
+
+def run_files(
+    spark: SparkSession, layers: Layers, files: list[LandingFile], ingested_at: str | None = None
+) -> Report:
+    """Ingest landing files and bring every layer up to date. Running them again changes nothing.
+
+    However many files there are, silver is merged once and read once for both gold tables.
+    Files are taken in the given order: of the rows with one key, the last file's wins, as if
+    the files had come one by one. (An order or customer that a later file of the same batch
+    leaves without rows is never published, where one by one its row would stay.)
+    """
+    if not files:
+        return Report()
+    counts = ingest(spark, layers, files, ingested_at)
+    report = Report(bronze=sum(counts.values()))
+    lost, left = _unsettled(spark, layers)
+    # The same file twice counts where it comes last; files of lost runs come before all others.
+    places = {one: place for place, one in enumerate([*left, *(file.id for file in files)])}
+    run = _record_unsettled(spark, layers, places)
+    order = spark.createDataFrame(list(places.items()), f"{INGEST_ID} string, _place int")
+    arrived = read_slices(spark, layers.bronze, list(places)).join(F.broadcast(order), INGEST_ID)
+    rejected = write_slices(spark, layers.rejects, keyless_rows(arrived, INGEST_ID), list(places))
+    report.rejected = sum(rejected[one] for one in counts)
+
+    source = keyed_rows(arrived, "_place", INGESTED_AT)
+    found = match(spark, layers.silver, source, (SALES_KEY, CUSTOMER_KEY))
+    report.silver = found.rows
+    if found.rows:
+        _record_pending(spark, layers, found)
+        apply_match(spark, layers.silver, found)
+    drop_slices(spark, layers.unsettled, [*lost, run])
+    if spark.catalog.tableExists(layers.silver.name):
+        report.sales, report.customers = _settle_gold(spark, layers)
+    return report
 
 
 def run_file(
@@ -102,66 +165,94 @@ def run_file(
     key: str,
     ingested_at: str | None = None,
 ) -> Report:
-    """Ingest one landing file and bring every layer up to date. Running it again changes nothing."""
-    report = Report(bronze=ingest(spark, layers, uri, bucket, key, ingested_at))
-    if not report.bronze:
-        return report
-    create_database(spark, layers.database)
-    arrived = read_slice(spark, layers.bronze, bucket, key)
-
-    rejected = f"{layers.rejects}/{INGEST_ID}={ingest_id(bucket, key)}"
-    report.rejected = write_counted(keyless_rows(arrived), rejected)["rows"]
-
-    found = match(spark, layers.silver, keyed_rows(arrived), (SALES_KEY, CUSTOMER_KEY))
-    report.silver = found.rows
-    if found.rows:
-        touched = _record_touched(spark, layers, ingest_id(bucket, key), found)
-        apply_match(spark, layers.silver, found)
-        orders = _touched(spark, layers, layers.sales, touched)
-        report.sales = merge_into(spark, layers.sales, sales(orders))
-        buyers = _touched(spark, layers, layers.customers, touched)
-        report.customers = merge_into(spark, layers.customers, customers(buyers, layers.anchor))
-    return report
+    return run_files(spark, layers, [LandingFile(uri, bucket, key)], ingested_at)
 
 
 def refresh_gold(spark: SparkSession, layers: Layers) -> Report:
-    """Recompute both gold tables from all of silver, as a new anchor day asks for."""
-    silver = spark.table(layers.silver.name)
-    return Report(
-        sales=merge_into(spark, layers.sales, sales(_keyed(silver, SALES_KEY))),
-        customers=merge_into(spark, layers.customers, customers(silver, layers.anchor)),
-    )
+    """Recompute both gold tables from all of silver."""
+    silver, report = spark.table(layers.silver.name), Report()
+    pending = {key: slice_ids(spark, layers.pending(key)) for key in (SALES_KEY, CUSTOMER_KEY)}
+    report.sales = merge_into(spark, layers.sales, sales(_keyed(silver, SALES_KEY)))
+    report.customers = _merge_customers(spark, layers, silver)
+    for key, ids in pending.items():
+        drop_slices(spark, layers.pending(key), ids)
+    return report
 
 
 def _keyed(silver: DataFrame, key: str) -> DataFrame:
     return silver.filter(silver[key].isNotNull())
 
 
-def _record_touched(
-    spark: SparkSession, layers: Layers, landing_id: str, found: Match
-) -> dict[str, DataFrame]:
-    """The orders and the customers whose gold rows the upsert may change, by key column.
+def _merge_customers(spark: SparkSession, layers: Layers, silver: DataFrame) -> int:
+    rows = merge_into(spark, layers.customers, customers(silver, layers.anchor))
+    if rows:
+        set_property(spark, layers.customers, ANCHOR, layers.anchor.isoformat())
+    return rows
+
+
+def _unsettled(spark: SparkSession, layers: Layers) -> tuple[list[str], list[str]]:
+    """The runs that were lost before their files were in silver, and those files in order."""
+    runs = slice_ids(spark, layers.unsettled)
+    if not runs:
+        return [], []
+    files = read_slices(spark, layers.unsettled, runs).orderBy("started", "place").collect()
+    return runs, list(dict.fromkeys(row.file for row in files))
+
+
+def _record_unsettled(spark: SparkSession, layers: Layers, places: dict[str, int]) -> str:
+    """Note the files before silver changes: should this run be lost, the next one takes them up."""
+    run, started = f"r{uuid4().hex}", datetime.now(timezone.utc).isoformat()
+    files = [(one, place, started, run) for one, place in places.items()]
+    rows = spark.createDataFrame(files, f"file string, place int, started string, {INGEST_ID} string")
+    write_slices(spark, layers.unsettled, rows, [run])
+    return run
+
+
+def _record_pending(spark: SparkSession, layers: Layers, found: Match) -> None:
+    """Store the orders and the customers whose gold rows the upsert may change, by key column.
 
     Both the new rows and the ones they replace count: a line that moves to another customer
     changes the old customer's numbers too. The keys are stored before silver changes and
-    stay with the landing file, so a run that dies afterwards still finds them when repeated.
+    stay until some run, this or a later one, has brought their gold rows up to date.
     """
-    touched = {}
+    run = f"r{uuid4().hex}"
     for key in (SALES_KEY, CUSTOMER_KEY):
         keys = found.source.select(key)
         if found.matched is not None:
             keys = keys.union(found.matched.select(key))
-        path = f"{layers.touched}/{key}/{INGEST_ID}={landing_id}"
-        keys.distinct().write.mode("append").parquet(path)
-        touched[key] = spark.read.schema(keys.schema).parquet(path)
-    return touched
-
-
-def _touched(
-    spark: SparkSession, layers: Layers, table: LayerTable, touched: dict[str, DataFrame]
-) -> DataFrame:
-    """All silver rows of the touched keys; any other key's gold row stays what it is."""
-    silver = _keyed(spark.table(layers.silver.name), table.key)
-    if not spark.catalog.tableExists(table.name):
-        return silver
-    return silver.join(touched[table.key], table.key, "left_semi")
+        keys = keys.filter(F.col(key).isNotNull()).distinct()
+        write_slices(spark, layers.pending(key), keys.withColumn(INGEST_ID, F.lit(run)), [run])
+
+
+def _settle_gold(spark: SparkSession, layers: Layers) -> tuple[int, int]:
+    """Recompute the gold rows of all pending keys, also those that a lost run left behind.
+
+    Any other key's row stays what it is, unless there is no table yet, or the customers were
+    counted up to another anchor day: then all rows are computed.
+    """
+    silver = spark.table(layers.silver.name)
+    pending = {key: slice_ids(spark, layers.pending(key)) for key in (SALES_KEY, CUSTOMER_KEY)}
+    all_sales = not spark.catalog.tableExists(layers.sales.name)
+    all_customers = not spark.catalog.tableExists(layers.customers.name) or (
+        property_of(spark, layers.customers, ANCHOR) != layers.anchor.isoformat()
+    )
+    whole = {key for key, every in ((SALES_KEY, all_sales), (CUSTOMER_KEY, all_customers)) if every}
+    partial = [key for key in (SALES_KEY, CUSTOMER_KEY) if key not in whole and pending[key]]
+    rows = {key: silver for key in whole}
+    if partial:
+        touched = silver
+        for key in partial:
+            keys = read_slices(spark, layers.pending(key), pending[key]).select(key).distinct()
+            touched = touched.join(keys.withColumn(f"_touched_{key}", F.lit(True)), key, "left")
+        held = F.coalesce(*(F.col(f"_touched_{key}") for key in partial))
+        # One scan of silver finds the rows of both kinds of key.
+        touched, _ = stage(spark, touched.filter(held), "touched")
+        rows |= {key: touched.filter(F.col(f"_touched_{key}")) for key in partial}
+    counts = {SALES_KEY: 0, CUSTOMER_KEY: 0}
+    if SALES_KEY in rows:
+        counts[SALES_KEY] = merge_into(spark, layers.sales, sales(_keyed(rows[SALES_KEY], SALES_KEY)))
+    if CUSTOMER_KEY in rows:
+        counts[CUSTOMER_KEY] = _merge_customers(spark, layers, rows[CUSTOMER_KEY])
+    for key, ids in pending.items():
+        drop_slices(spark, layers.pending(key), ids)
+    return counts[SALES_KEY], counts[CUSTOMER_KEY]

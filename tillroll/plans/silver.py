@@ -37,12 +37,16 @@ def conform(bronze: DataFrame, *extra: str) -> DataFrame:
     return bronze.select(*conformed, *extra)
 
 
-def keyed_rows(bronze: DataFrame) -> DataFrame:
-    """Conformed rows ready for the upsert: of the copies of a `row_id`, the latest ingest wins."""
-    rows = conform(bronze, INGESTED_AT).filter(F.col(SILVER_KEY).isNotNull())
-    return highest_per_key(rows, SILVER_KEY, [INGESTED_AT]).drop(INGESTED_AT)
+def keyed_rows(bronze: DataFrame, *order: str) -> DataFrame:
+    """Conformed rows ready for the upsert: of the copies of a `row_id`, the last by `order` wins.
 
+    `order` names bronze columns; by default that is the latest ingest.
+    """
+    order = order or (INGESTED_AT,)
+    rows = conform(bronze, *order).filter(F.col(SILVER_KEY).isNotNull())
+    return highest_per_key(rows, SILVER_KEY, list(order)).drop(*order)
 
-def keyless_rows(bronze: DataFrame) -> DataFrame:
+
+def keyless_rows(bronze: DataFrame, *extra: str) -> DataFrame:
     """Conformed rows that no later run could match, kept apart so that a replay is stable."""
-    return conform(bronze, INGESTED_AT).filter(F.col(SILVER_KEY).isNull())
+    return conform(bronze, INGESTED_AT, *extra).filter(F.col(SILVER_KEY).isNull())

@@ -60,14 +60,25 @@ def point_partitions(
 ) -> None:
     """Let each partition read its new folder. One catalog call per partition, no data is moved."""
     for values, location in partitions.items():
-        spec = ", ".join(
-            f"{name}={'null' if value is None else value}"
-            for name, value in zip(table.partition_by, values)
-        )
+        spec = _spec(table, values)
         spark.sql(f"ALTER TABLE {table.name} PARTITION ({spec}) SET LOCATION '{location}'")
     spark.catalog.refreshTable(table.name)
 
 
+def drop_partitions(spark: SparkSession, table: LayerTable, partitions: list[Partition]) -> None:
+    """Forget partitions, in one catalog call; their files stay."""
+    specs = ", ".join(f"PARTITION ({_spec(table, values)})" for values in partitions)
+    spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS {specs}")
+    spark.catalog.refreshTable(table.name)
+
+
+def _spec(table: LayerTable, values: Partition) -> str:
+    return ", ".join(
+        f"{name}={'null' if value is None else value}"
+        for name, value in zip(table.partition_by, values)
+    )
+
+
 def partition_folder(table: LayerTable, values: Partition) -> str:
     return "/".join(
         f"{name}={NULL_PARTITION if value is None else value}"
@@ -76,7 +87,10 @@ def partition_folder(table: LayerTable, values: Partition) -> str:
 
 
 def in_partitions(table: LayerTable, partitions: list[Partition]) -> Column:
-    """A condition on the partition columns alone, so that it prunes the scan. NULL equals NULL."""
+    """A condition on the partition columns alone, so that it prunes the scan. NULL equals NULL.
+
+    The plain condition per column is what a metastore can evaluate; the exact one follows.
+    """
     folder = F.concat_ws(
         "/",
         *(
@@ -84,4 +98,17 @@ def in_partitions(table: LayerTable, partitions: list[Partition]) -> Column:
             for name in table.partition_by
         ),
     )
-    return folder.isin([partition_folder(table, values) for values in partitions])
+    exact = folder.isin([partition_folder(table, values) for values in partitions])
+    for name, values in zip(table.partition_by, zip(*partitions, strict=True), strict=False):
+        if None not in values:
+            exact = F.col(name).isin(sorted(set(values))) & exact
+    return exact
+
+
+def property_of(spark: SparkSession, table: LayerTable, name: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table.name}").collect()
+    return next((row.value for row in rows if row.key == name), None)
+
+
+def set_property(spark: SparkSession, table: LayerTable, name: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {table.name} SET TBLPROPERTIES ('{name}' = '{value}')")

@@ -14,11 +14,13 @@ def clustered(frame: DataFrame, partition_by: tuple[str, ...], sort_by: str | No
     """Rows of one partition value meet before the write, so a day has few files.
 
     AQE splits a hot value over tasks, so no day has to fit one task. Rows sorted by key give
-    Parquet narrow key bounds per row group, which later upserts skip by.
+    Parquet narrow key bounds per row group, which later upserts skip by. Without partitions
+    each file gets a stretch of keys; the key is unique there, so the stretches are even.
     """
-    if not partition_by:
-        return frame
-    frame = frame.hint("rebalance", *partition_by)
+    if partition_by:
+        frame = frame.hint("rebalance", *partition_by)
+    elif sort_by:
+        frame = frame.repartitionByRange(sort_by)
     return frame.sortWithinPartitions(*partition_by, sort_by) if sort_by else frame
 
 

@@ -1,8 +1,7 @@
-"""The raw layer's files: one folder per landing file, below it one per day.
+"""The raw layer: one slice per landing file.
 
-The folder of a landing file is named after its bucket and key, so reading one file's rows
-touches that folder alone, and ingesting a file again replaces its rows instead of doubling
-them.
+A slice is named after its file's bucket and key, so reading one file's rows touches its folder
+alone, and ingesting a file again replaces its rows instead of doubling them.
 """
 
 from __future__ import annotations
@@ -10,36 +9,20 @@ from __future__ import annotations
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tillroll.layers import DAY_COLUMNS, INGEST_ID
-from tillroll.plans.bronze import bronze_slice
-from tillroll.sinks.staging import write_counted
+from tillroll.layers import INGEST_ID
+from tillroll.sinks.slices import SliceTable, read_slices
 
 
 def ingest_id(bucket: str, key: str) -> str:
     # The leading letter keeps partition discovery from reading a number.
-    return "f" + sha256(f"{bucket}/{key}".encode()).hexdigest()[:40]
+    return "f" + sha256(f"{bucket}/{key}".encode()).hexdigest()
 
 
-def slice_path(bronze_path: str, bucket: str, key: str) -> str:
-    return f"{bronze_path}/{INGEST_ID}={ingest_id(bucket, key)}"
+def read_slice(spark: SparkSession, bronze: SliceTable, bucket: str, key: str) -> DataFrame:
+    return read_slices(spark, bronze, [ingest_id(bucket, key)]).drop(INGEST_ID)
 
 
-def write_slice(rows: DataFrame, bronze_path: str, bucket: str, key: str) -> int:
-    path = slice_path(bronze_path, bucket, key)
-    return write_counted(rows, path, tuple(DAY_COLUMNS))["rows"]
-
-
-def read_slice(spark: SparkSession, bronze_path: str, bucket: str, key: str) -> DataFrame:
-    return bronze_slice(_typed(spark.read.parquet(slice_path(bronze_path, bucket, key))), key)
-
-
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
+def read_bronze(spark: SparkSession, bronze: SliceTable) -> DataFrame:
     """Every row with the columns of every file; a column that a file lacks is NULL there."""
-    return _typed(spark.read.option("mergeSchema", True).parquet(bronze_path))
-
-
-def _typed(rows: DataFrame) -> DataFrame:
-    """Folder names of undated rows alone would leave the day columns without a type."""
-    return rows.withColumns({name: F.col(name).cast("int") for name in DAY_COLUMNS})
+    return read_slices(spark, bronze).drop(INGEST_ID)

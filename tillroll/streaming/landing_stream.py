@@ -1,4 +1,4 @@
-"""New landing files as a stream: each file is handed on once, by name.
+"""New landing files as a stream: each file is handed on once, by name, in batches.
 
 The stream carries paths only. Reading the rows per file keeps every header its own, so files
 whose columns differ or change order stay right.
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.layers import LANDING_PREFIX
+from tillroll.plans.run import LandingFile
 
 # Fixed value: the CSV suffix in any case.
 CSV_GLOB = "*.[cC][sS][vV]"
@@ -21,8 +22,12 @@ CSV_GLOB = "*.[cC][sS][vV]"
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def new_files(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
-    """(uri, key) of each CSV below the folder; file contents are not read."""
+# The driver plans one scan per file of a batch; more files than this come in further batches.
+FILES_PER_BATCH = 200
+
+
+def new_files(spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """(uri, key, landed) of each CSV below the folder; file contents are not read."""
     listed = (
         spark.readStream.format("binaryFile")
         .schema(LISTING)
@@ -33,7 +38,9 @@ def new_files(spark: SparkSession, folder: str, files_per_batch: int = 1) -> Dat
     )
     relative = F.substring_index("path", folder.rstrip("/") + "/", -1)
     return listed.select(
-        F.col("path").alias("uri"), F.concat(F.lit(LANDING_PREFIX), relative).alias("key")
+        F.col("path").alias("uri"),
+        F.concat(F.lit(LANDING_PREFIX), relative).alias("key"),
+        F.col("modificationTime").alias("landed"),
     )
 
 
@@ -41,18 +48,19 @@ def start(
     spark: SparkSession,
     folder: str,
     checkpoint: str,
-    on_file: Callable[[str, str], object],
-    files_per_batch: int = 1,
+    bucket: str,
+    on_files: Callable[[list[LandingFile]], object],
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """Call `on_file(uri, key)` for each file not seen before, then stop.
+    """Hand each batch of files not seen before to `on_files`, by landing time and key; then stop.
 
-    A batch that dies is repeated, so `on_file` must bear a replay; `run_file` does.
+    A batch that dies is repeated, so `on_files` must bear a replay; `run_files` does.
     """
 
     def run_batch(files: DataFrame, _batch: int) -> None:
         # At most `files_per_batch` names come to the driver; the files' rows never do.
-        for row in files.collect():
-            on_file(row.uri, row.key)
+        landed = sorted(files.collect(), key=lambda row: (row.landed, row.key))
+        on_files([LandingFile(row.uri, bucket, row.key) for row in landed])
 
     return (
         new_files(spark, folder, files_per_batch)
