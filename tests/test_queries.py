@@ -16,7 +16,7 @@ TINY = Path("/root/testdata/sf0.001")
 EXPECTED_ROWS = {
     "csv_scan": 4599, "bronze_rows": 4599, "bronze_append": 4599, "silver_rows": 4599,
     "bronze_partitions": 1067, "gold_sales": 1473, "gold_customer": 150, "upsert_silver": 3995,
-    "upsert_empty": 3931, "trigger_keys": 333, "catalog_gold": 1473, "layered_run": 150,
+    "upsert_empty": 3931, "trigger_keys": 333, "catalog_gold": 1473, "layered_run": 150, "stream_customers": 150,
 }
 
 

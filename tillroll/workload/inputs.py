@@ -7,7 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.layers import DATE_PATTERN
+from tillroll.functions.dates import day_parts
+from tillroll.layers import DATE_PATTERN, SILVER_KEY
 from tillroll.plans.bronze import dated
 from tillroll.plans.silver import conform
 
@@ -18,14 +19,30 @@ FIRST_FILE = "landing/b1.csv"
 SECOND_FILE = "landing/b2.csv"
 
 
+# Folders of landing rows that `store` wrote, by application and given tables.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def store(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Keep the landing rows in `folder`, so that queries of this application time no derivation."""
+    landing(spark, sf_dir).write.parquet(folder)
+    _STORED[spark.sparkContext.applicationId, sf_dir] = folder
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Untidy order lines: bad ids and dates, padded text, names of one to three words."""
+    stored = _STORED.get((spark.sparkContext.applicationId, sf_dir))
+    if stored:
+        return spark.read.parquet(stored)
+    # Dealt out by order once: the lines of an order then group and join where they are.
     lines = (
         table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_suppkey")
+        .repartition("l_orderkey")
         .groupBy("l_orderkey", "l_linenumber")
         .agg(
             F.min("l_shipdate").alias("shipped"),
@@ -41,8 +58,7 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     orders = table(spark, sf_dir, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-    # Both sides grow with the data, so this is a shuffle join at any size worth tuning for.
-    rows = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     order, buyer, name = F.col("l_orderkey"), F.col("o_custkey"), F.col("c_name")
     text = {
@@ -81,6 +97,29 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(bronze(spark, sf_dir))
 
 
+def early(silver: DataFrame) -> DataFrame:
+    """Silver rows before the late ones come: some are still missing."""
+    return silver.filter(F.col(SILVER_KEY) % 7 != 0)
+
+
+def late(silver: DataFrame) -> DataFrame:
+    """Late rows: some new, some known; of the known ones some move to other days or to none.
+
+    All rows of June 1997 move, so its days empty. Cities of even rows are blanked.
+    """
+    key, day = F.col(SILVER_KEY), F.col("order_date")
+    june = (F.year(day) == 1997) & (F.month(day) == 6)
+    moved = (
+        F.when(june, F.add_months(day, 1))
+        .when(key % 5 == 0, F.lit(None).cast("date"))
+        .when(key % 5 == 1, F.date_add(day, 1))
+        .otherwise(day)
+    )
+    rows = silver.filter((key % 17 == 0) | F.coalesce(june, F.lit(False)) | (key % 7 == 0))
+    rows = rows.withColumns({"order_date": moved, "city": F.when(key % 2 == 1, F.col("city"))})
+    return rows.withColumns(day_parts(F.col("order_date")))
+
+
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON notification per event, its key URL-encoded."""
     number = F.col("event_id")
@@ -97,3 +136,14 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     body = F.to_json(F.struct(F.array(F.struct(s3.alias("s3"))).alias("Records")))
     return table(spark, sf_dir, "events").select(body.alias("value"))
+
+
+def damaged_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, but every seventh body is cut short and every eleventh names no bucket."""
+    bodies = notifications(spark, sf_dir).withColumn(
+        "number", F.regexp_extract("value", r"f\+(\d+)", 1).cast("long")
+    )
+    cut = F.expr("left(value, length(value) - 5)")
+    nameless = F.replace(F.col("value"), F.lit('"name":"b"'), F.lit('"nom":"b"'))
+    damaged = F.when(F.col("number") % 7 == 0, cut).when(F.col("number") % 11 == 0, nameless).otherwise(F.col("value"))
+    return bodies.select(damaged.alias("value"))

@@ -178,6 +178,28 @@ accepted AS (
 
 _ALL_SALES = "SELECT * FROM gold_sales"
 
+_EARLY = "early AS (SELECT * FROM keyed WHERE row_id % 7 <> 0)"
+_LATE = """
+late AS (
+  SELECT * EXCLUDE (june, moved)
+           REPLACE (moved AS order_date, CASE WHEN row_id % 2 = 1 THEN city END AS city,
+                    CAST(year(moved) AS INTEGER) AS year, CAST(month(moved) AS INTEGER) AS month,
+                    CAST(day(moved) AS INTEGER) AS day)
+  FROM (
+    SELECT *, coalesce(year(order_date) = 1997 AND month(order_date) = 6, false) AS june,
+           CASE WHEN june THEN CAST(order_date + INTERVAL 1 MONTH AS DATE)
+                WHEN row_id % 5 = 0 THEN NULL
+                WHEN row_id % 5 = 1 THEN CAST(order_date + INTERVAL 1 DAY AS DATE)
+                ELSE order_date END AS moved
+    FROM keyed
+  ) WHERE row_id % 17 = 0 OR june OR row_id % 7 = 0
+)"""
+
+
+def _listed(columns: list[str], key: str) -> str:
+    """The upsert, and that the manifest lists the file of every row."""
+    return f"SELECT *, true AS listed FROM ({_merged(columns, key)})"
+
 
 def oracles() -> dict[str, str]:
     return {
@@ -227,6 +249,30 @@ def oracles() -> dict[str, str]:
         ),
         "trigger_keys": _with(_KEYS, then="SELECT * FROM accepted"),
         "trigger_count": _with(_KEYS, then="SELECT count(*) AS started FROM accepted"),
+        "trigger_malformed": "SELECT count(*) AS malformed FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0",
+        "merge_silver_table": _with(
+            *_SILVER_PARTS, _KEYED, _EARLY, _LATE,
+            "target AS (SELECT * FROM early)", "source AS (SELECT * FROM late)",
+            then=_listed(SILVER_COLUMNS, "row_id"),
+        ),
+        "merge_sales_table": _with(
+            *_SILVER_PARTS, _KEYED, _EARLY, _LATE, _sales("target", "early"), _sales("source", "late"),
+            then=_listed(_SALES_COLUMNS, "order_id"),
+        ),
+        "run_counts": _with(
+            *_SILVER_PARTS, _KEYED, _customers("gold_customer", "keyed"),
+            then="SELECT 'bronze' AS layer, count(*) AS n FROM bronze "
+            "UNION ALL SELECT 'rejected', count(*) FROM silver WHERE row_id IS NULL "
+            "UNION ALL SELECT 'silver', count(*) FROM keyed "
+            "UNION ALL SELECT 'sales', count(DISTINCT order_id) FROM keyed "
+            "UNION ALL SELECT 'customers', count(*) FROM gold_customer",
+        ),
+        "layered_silver": _with(*_SILVER_PARTS, _KEYED, then="SELECT * FROM keyed"),
+        "layered_sales": _with(*_SILVER_PARTS, _KEYED, _sales("gold_sales", "keyed"), then=_ALL_SALES),
+        "stream_customers": _with(
+            *_SILVER_PARTS, _KEYED, _customers("gold_customer", "keyed"),
+            then="SELECT * FROM gold_customer",
+        ),
         "stream_files": _with(
             LANDING, BRONZE,
             then="SELECT _source_file, count(*) AS n, count(_order_date_parsed) AS dated "

@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.cleaning import landing_date
-from tillroll.layers import DAY_COLUMNS, SOURCE_FILE
+from tillroll.layers import DAY_COLUMNS, INGEST_ID, SILVER_KEY, SOURCE_FILE
 from tillroll.plans.bronze import bronze_slice
-from tillroll.plans.run import Layers, ingest, run_file
+from tillroll.plans.run import LandingFile, Layers, Report, run_files
 from tillroll.plans.sales import sales
 from tillroll.session import scratch_path
 from tillroll.sinks.catalog import LayerTable, create_database
 from tillroll.sinks.manifest import read_manifest
 from tillroll.sinks.merge import merge_into
-from tillroll.sources.bronze_files import read_bronze
+from tillroll.sinks.slices import write_slices
+from tillroll.sources.bronze_files import ingest_id, read_bronze
 from tillroll.sources.landing import scan_csv
 from tillroll.streaming.landing_stream import start
 from tillroll.workload import inputs
@@ -25,21 +26,6 @@ from tillroll.workload import inputs
 BUCKET = "b"
 
 
-def _writer(spark: SparkSession) -> SparkSession:
-    """A session of the same cluster for writing many small day folders.
-
-    A day of the given tables holds a few rows, so by size AQE would let one task create all
-    folders, and listing them would cost a task per folder; these settings keep every core at
-    it. The caller's settings stay as they are.
-    """
-    session = spark.newSession()
-    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        session.conf.set(name, spark.conf.get(name))
-    session.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "4KB")
-    session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
-    return session
-
-
 def _write_csv(rows: DataFrame, path: str) -> str:
     """Landing rows as CSV text with headers such as `Row Id`, padding kept."""
     headers = [name if name.startswith("_") else name.replace("_", " ").title() for name in rows.columns]
@@ -84,7 +70,6 @@ def _published_sales(spark: SparkSession, sf_dir: str, manifest: bool) -> LayerT
 
 def catalog_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order fact as an external table serves it."""
-    spark = _writer(spark)
     return spark.table(_published_sales(spark, sf_dir, manifest=False).name)
 
 
@@ -95,38 +80,104 @@ def gold_sales_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per day in the files that the manifest lists."""
-    spark = _writer(spark)
     table = _published_sales(spark, sf_dir, manifest=True)
-    listed = read_manifest(spark, table).select("file_path").distinct()
-    stored = spark.table(table.name).select("_metadata.file_path", *DAY_COLUMNS)
     return (
-        stored.join(listed, "file_path", "left_semi")
+        _with_listing(spark, table)
+        .filter("listed")
         .groupBy(*DAY_COLUMNS)
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+def _published_late(spark: SparkSession, target: DataFrame, late: DataFrame, table: LayerTable) -> LayerTable:
+    merge_into(spark, table, target)
+    merge_into(spark, table, late)
+    return table
+
+
+def _with_listing(spark: SparkSession, table: LayerTable) -> DataFrame:
+    """The table's rows, each with whether the manifest lists its file under its partition."""
+    place = F.struct("file_path", *(F.col(name).cast("int").alias(name) for name in DAY_COLUMNS))
+    listed = read_manifest(spark, table).select(place.alias("place")).distinct()
+    rows = spark.table(table.name).select("*", F.col("_metadata.file_path").alias("file_path"))
+    # Structs compare their NULL fields as equal, so undated rows find their list too.
+    joined = rows.withColumn("place", place).join(listed.withColumn("listed", F.lit(True)), "place", "left")
+    return joined.select(*table.schema.names, F.coalesce("listed", F.lit(False)).alias("listed"))
+
+
+def merge_silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored silver table after late rows: they move days, empty one, blank a city, meet undated rows."""
+    rows = inputs.silver(spark, sf_dir).filter(F.col(SILVER_KEY).isNotNull())
+    table = replace(_new_layers(spark).silver, manifest=True)
+    return _with_listing(spark, _published_late(spark, inputs.early(rows), inputs.late(rows), table))
+
+
+def merge_sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored order fact after the orders of the late rows were merged."""
+    rows = inputs.silver(spark, sf_dir).filter(F.col(SILVER_KEY).isNotNull())
+    target, late = sales(inputs.early(rows)), sales(inputs.late(rows))
+    return _with_listing(spark, _published_late(spark, target, late, _new_layers(spark).sales))
+
+
+def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored raw layer after two files, of which the first lacks a column."""
+    bronze = _new_layers(spark).bronze
+    rows = inputs.landing(spark, sf_dir)
+    first = bronze_slice(rows, inputs.FIRST_FILE).drop("city")
+    second = bronze_slice(rows, inputs.SECOND_FILE)
+    for key, part in ((inputs.FIRST_FILE, first), (inputs.SECOND_FILE, second)):
+        one = ingest_id(BUCKET, key)
+        write_slices(spark, bronze, part.withColumn(INGEST_ID, F.lit(one)), [one])
+    return read_bronze(spark, bronze)
+
+
 def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per landing folder after a stream ingested its files one by one."""
-    spark = _writer(spark)
+    """Rows per landing folder of the raw layer after a stream took its files through all layers."""
+    layers = _streamed(spark, sf_dir)
+    return read_bronze(spark, layers.bronze).groupBy(
+        F.substring_index(SOURCE_FILE, "/", 2).alias(SOURCE_FILE)
+    ).agg(F.count(F.lit(1)).alias("n"), F.count("_order_date_parsed").alias("dated"))
+
+
+def stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table after a stream took its files through all layers."""
+    return spark.table(_streamed(spark, sf_dir).customers.name)
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> Layers:
     folder = scratch_path(spark, "stream")
     _write_landing_files(spark, sf_dir, folder)
-    layers = Layers(f"{folder}/layers")
+    layers = _new_layers(spark)
 
-    def on_file(uri: str, key: str) -> None:
-        ingest(spark, layers, uri, BUCKET, key, inputs.INGESTED)
+    def on_files(files: list[LandingFile]) -> None:
+        run_files(spark, layers, files, inputs.INGESTED)
+
+    start(spark, f"{folder}/landing", f"{folder}/checkpoint", BUCKET, on_files).awaitTermination()
+    return layers
 
-    start(spark, f"{folder}/landing", f"{folder}/checkpoint", on_file).awaitTermination()
-    rows = read_bronze(spark, layers.bronze)
-    return rows.groupBy(
-        F.substring_index(SOURCE_FILE, "/", 2).alias(SOURCE_FILE)
-    ).agg(F.count(F.lit(1)).alias("n"), F.count("_order_date_parsed").alias("dated"))
+
+def _run(spark: SparkSession, sf_dir: str) -> tuple[Layers, Report]:
+    """Both landing files through all layers, in one batch."""
+    layers = _new_layers(spark)
+    written = _write_landing_files(spark, sf_dir, scratch_path(spark, "run"))
+    files = [LandingFile(uri, BUCKET, key) for key, uri in written.items()]
+    return layers, run_files(spark, layers, files, inputs.INGESTED)
 
 
 def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer table after both landing files went through all layers."""
-    spark = _writer(spark)
-    layers = _new_layers(spark)
-    for key, uri in _write_landing_files(spark, sf_dir, scratch_path(spark, "run")).items():
-        run_file(spark, layers, uri, BUCKET, key, inputs.INGESTED)
-    return spark.table(layers.customers.name)
+    return spark.table(_run(spark, sf_dir)[0].customers.name)
+
+
+def layered_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(_run(spark, sf_dir)[0].silver.name)
+
+
+def layered_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(_run(spark, sf_dir)[0].sales.name)
+
+
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per layer as the writes of a run observed them."""
+    report = _run(spark, sf_dir)[1]
+    return spark.createDataFrame(list(vars(report).items()), "layer string, n long")
