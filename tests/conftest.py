@@ -21,6 +21,9 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(scratch),
+            # A day of the given tables holds a few rows: by size, one task would create all folders.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "2KB",
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": "8",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
         },
     )
