@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
@@ -13,6 +14,8 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 Partition = tuple[int | None, ...]
 
+CALLS_AT_ONCE = 16
+
 
 @dataclass(frozen=True)
 class LayerTable:
@@ -58,10 +61,17 @@ def point_table(spark: SparkSession, table: LayerTable, location: str) -> None:
 def point_partitions(
     spark: SparkSession, table: LayerTable, partitions: dict[Partition, str]
 ) -> None:
-    """Let each partition read its new folder. One catalog call per partition, no data is moved."""
-    for values, location in partitions.items():
+    """Let each partition read its new folder. One catalog call per partition, no data is moved.
+
+    The calls mostly wait for the catalog and don't depend on each other, so several run at once.
+    """
+
+    def point(values: Partition) -> None:
         spec = _spec(table, values)
-        spark.sql(f"ALTER TABLE {table.name} PARTITION ({spec}) SET LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {table.name} PARTITION ({spec}) SET LOCATION '{partitions[values]}'")
+
+    with ThreadPoolExecutor(CALLS_AT_ONCE) as calls:
+        list(calls.map(point, partitions))
     spark.catalog.refreshTable(table.name)
 
 

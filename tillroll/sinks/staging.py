@@ -11,17 +11,19 @@ from tillroll.session import scratch_path
 
 
 def clustered(frame: DataFrame, partition_by: tuple[str, ...], sort_by: str | None) -> DataFrame:
-    """Rows of one partition value meet before the write, so a day has few files.
+    """Each task writes a stretch of the order (partition values, key), so a day has few files.
 
-    AQE splits a hot value over tasks, so no day has to fit one task. Rows sorted by key give
-    Parquet narrow key bounds per row group, which later upserts skip by. Without partitions
-    each file gets a stretch of keys; the key is unique there, so the stretches are even.
+    The stretches hold equally many rows: small days share a task, and a hot one is split by key
+    over several, each with bounds of its own for later upserts to skip by. The stretches are as
+    many as the session's shuffle partitions, or cores if there are more: by size alone, one task
+    would create thousands of tiny day folders, whose cost is their creation.
     """
-    if partition_by:
-        frame = frame.hint("rebalance", *partition_by)
-    elif sort_by:
-        frame = frame.repartitionByRange(sort_by)
-    return frame.sortWithinPartitions(*partition_by, sort_by) if sort_by else frame
+    order = [*partition_by, *([sort_by] if sort_by else [])]
+    if not order:
+        return frame
+    spark = frame.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return frame.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
 
 def write_counted(
