@@ -244,6 +244,38 @@ def test_random_strings_are_found_and_text_is_not():
     assert [secrets.scan(text) for text in plain] == [[]] * len(plain)
 
 
+@pytest.mark.parametrize(
+    "name, n, share",
+    [("base 32", 20, 0.85), ("base 32", 32, 0.95), ("lower base 36", 24, 0.95), ("upper hex", 20, 0.95), ("lower letters", 32, 0.9), ("base 64", 40, 0.95)],
+)
+def test_keys_of_every_alphabet_are_found(name, n, share):
+    rng = random.Random(4)
+    for together in (1, 10):
+        found = 0
+        for _ in range(200 // together):
+            keys = ["".join(rng.choice(secrets.ALPHABETS[name]) for _ in range(n)) for _ in range(together)]
+            found += len(secrets.discoveries(keys))
+        assert found >= share * 200
+
+
+def test_letters_are_learned_from_all_documents(spark):
+    word = "qwzxjkvpbgyfumlhdcrsniaote"
+    parts = [(f"{word[:14]} {word[10:]} " * 50,)] * 20
+    asked = spark.createDataFrame([*parts, (word,)], "text string")
+    assert {len(row.secrets) for row in secrets.find_secrets(asked).collect()} == {0}
+    assert secrets.scan(word) == [("random", 0, 26)]
+    counts = secrets.pair_counts(f"aB é {word} b".encode()).reshape(27, 27)
+    assert counts[0, 1] == counts[1, 2] == counts[0, 2] == 1 and counts[:, 1:].sum() == 3
+
+
+def test_long_words_are_text():
+    words = [
+        "donaudampfschifffahrtsgesellschaft", "anticonstitutionnellement", "niezapominajkowskiego", "THIS_IS_A_VERY_LONG_CONSTANT_NAME",
+        "com/example/project2/src/main/java", "12345678901234567890", "2024-01-02-03-04-05-06",
+    ]
+    assert [secrets.scan(word) for word in words] == [[]] * len(words)
+
+
 # 6: token file
 
 

@@ -1,21 +1,23 @@
 """Secret scans: patterns of known secrets, and a battery of randomness tests for the rest.
 
-Every run of TOKEN characters outside the patterns' matches gets an encoding (hexadecimal,
-base 32, lower-case or upper-case base 36, base 62, base 64 in either alphabet); one of letters
-in a single case has none. A string passes the battery if none of three tests rejects that its
+Every run of TOKEN characters outside the patterns' matches gets an encoding: the narrowest of
+ALPHABETS that holds it. A string passes the battery if none of three tests rejects that its
 characters are drawn evenly from that alphabet: chi-squared uniformity, runs above and below the
 middle of the alphabet, and serial correlation of neighbours (P_RANDOM, shared among the three).
-Short strings pass such tests whatever they are. So a second p-value asks how likely text is to
-change between lower case, upper case, digits and signs that often over that length; it can't be
-small for a short string. Among the strings of a text it goes through false-discovery control
-(Benjamini-Hochberg at FALSE_DISCOVERIES, each weighted by its share of the tested length). What
-passes both is a `random` span.
-
-Scale: a projection without a shuffle; memory follows the longest text. Patterns run only over
-texts that can hold them, which never changes what they find.
+Short strings pass such tests whatever they are. So a string's evidence is how much likelier even
+draws from its alphabet make it than text does, and none if the battery rejects it. Text changes
+between lower case, upper case, digits and signs at the rate TEXT_CHANGES and draws letters after
+the letter before, by counts over all documents or by a fixed table, whichever makes the string
+likelier. That ratio is an e-value, so among the strings of a text it goes through false-discovery control (Benjamini-Hochberg
+for e-values at FALSE_DISCOVERIES, each weighted by its share of the tested length). What passes
+is a `random` span.
+
+Scale: one pass that counts letter pairs (729 numbers per task) and a projection without a shuffle;
+memory follows the longest text. Patterns run only over texts that can hold them, which never
+changes what they find.
 
 Defined cases: a NULL or empty text has no span. Offsets are code points, ends exclusive. Spans
-come by start, then kind in the order of KINDS. Rows are independent; all columns stay.
+come by start, then kind in the order of KINDS. Rows share the letter counts only; all columns stay.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,11 +53,18 @@ P_RANDOM = 0.001
 FALSE_DISCOVERIES = 0.01
 # How often neighbouring characters of identifiers, words and paths change their class.
 TEXT_CHANGES = 0.15
+# Letters a to z per 1,000 of common text: what is believed, as PRIOR letters, before any are counted.
+LETTERS = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
+PRIOR = 100
+# The share of letters that follow no counts, such as those of names and abbreviations.
+ODD = 0.1
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 ALPHABETS = {
     "hex": _DIGITS + "abcdef",
     "upper hex": _DIGITS + "ABCDEF",
+    "lower letters": _LOWER,
+    "upper letters": _UPPER,
     "base 32": _UPPER + "234567",
     "lower base 36": _DIGITS + _LOWER,
     "upper base 36": _DIGITS + _UPPER,
@@ -67,10 +77,8 @@ _RANKS = {name: {letter: i for i, letter in enumerate(letters)} for name, letter
 
 
 def encoding_of(string: str) -> str | None:
-    """The narrowest alphabet that holds all characters; None for letters of a single case."""
+    """The narrowest alphabet that holds all characters."""
     used = set(string)
-    if string.isalpha() and (string[1:].islower() or string.isupper()):
-        return None
     return next((name for name, members in _MEMBERS.items() if used <= members), None)
 
 
@@ -125,39 +133,76 @@ def _class(letter: str) -> int:
     return 0 if "a" <= letter <= "z" else 1 if "A" <= letter <= "Z" else 2 if "0" <= letter <= "9" else 3
 
 
-def text_chance(string: str) -> float:
-    """The chance that text changes character class at least as often."""
-    classes = [_class(letter) for letter in string]
-    n = len(string) - 1
-    seen = sum(a != b for a, b in zip(classes, classes[1:], strict=False))
-    log_n = math.lgamma(n + 1)
-    terms = (
-        math.exp(
-            log_n - math.lgamma(i + 1) - math.lgamma(n - i + 1)
-            + i * math.log(TEXT_CHANGES) + (n - i) * math.log1p(-TEXT_CHANGES)
+def letter_logs(counts: list[int]) -> list[list[float]]:
+    """Log chances of a letter after each letter, from counts of pairs; row 0 is for a first letter.
+
+    `counts` has 27 numbers per letter before, of which the first (no letter after) is unused.
+    """
+    total = sum(LETTERS)
+    logs = []
+    for before in range(27):
+        own = counts[27 * before + 1 : 27 * before + 27]
+        whole = sum(own) + PRIOR
+        logs.append(
+            [
+                math.log((1 - ODD) * (n + PRIOR * usual / total) / whole + ODD / 26)
+                for n, usual in zip(own, LETTERS, strict=True)
+            ]
         )
-        for i in range(seen, n + 1)
-    )
-    return min(1.0, sum(terms))
-
-
-def discoveries(strings: list[str]) -> list[int]:
-    """Which of a text's strings are random: the battery, then weighted false-discovery control."""
+    return logs
+
+
+UNTAUGHT = letter_logs([0] * 729)
+_STAY, _CHANGE = math.log1p(-TEXT_CHANGES), math.log(TEXT_CHANGES / 3)
+
+
+def text_logs(string: str, logs: list[list[float]]) -> list[float]:
+    """The log chance in text of each character after the one before."""
+    found, before, last = [], -1, 0
+    for letter in string:
+        kind = _class(letter)
+        chance = math.log(1 / 4) if before < 0 else _STAY if kind == before else _CHANGE
+        if kind < 2:
+            place = ord(letter.lower()) - 96
+            # A capital after anything but a capital begins a word.
+            chance += logs[0 if kind == 1 and before != 1 else last][place - 1]
+            last = place
+        else:
+            chance += math.log(1 / 10 if kind == 2 else 1 / 4)
+            last = 0
+        found.append(chance)
+        before = kind
+    return found
+
+
+def evidence(string: str, encoding: str, logs: list[list[float]]) -> float:
+    """Log of how much likelier even draws are than text; one alphabet in all was to be guessed."""
+    if not looks_random(string, encoding):
+        return -math.inf
+    even = -len(string) * math.log(len(ALPHABETS[encoding])) - math.log(len(ALPHABETS))
+    # The fixed table also counts, for words of languages that are rare in the documents.
+    return even - max(sum(text_logs(string, taught)) for taught in (logs, UNTAUGHT))
+
+
+def discoveries(strings: list[str], logs: list[list[float]] = UNTAUGHT) -> list[int]:
+    """Which of a text's strings are random, by weighted false-discovery control."""
     bare = [(i, string.rstrip("=")) for i, string in enumerate(strings)]
     tested = [(i, string, encoding_of(string)) for i, string in bare if len(string) >= SHORTEST]
     tested = [(i, string, kind) for i, string, kind in tested if kind]
     if not tested:
         return []
     mean = sum(len(string) for _, string, _ in tested) / len(tested)
-    ranked = sorted((text_chance(string) * mean / len(string), i, string, kind) for i, string, kind in tested)
+    ranked = sorted(
+        ((evidence(string, kind, logs) + math.log(len(string) / mean), i) for i, string, kind in tested), reverse=True
+    )
     last = 0
-    for rank, (chance, *_) in enumerate(ranked, 1):
-        if chance <= FALSE_DISCOVERIES * rank / len(ranked):
+    for rank, (weighed, _) in enumerate(ranked, 1):
+        if weighed >= math.log(len(ranked) / (FALSE_DISCOVERIES * rank)):
             last = rank
-    return sorted(i for _, i, string, kind in ranked[:last] if looks_random(string, kind))
+    return sorted(i for _, i in ranked[:last])
 
 
-def scan(text: str) -> list[tuple[str, int, int]]:
+def scan(text: str, logs: list[list[float]] = UNTAUGHT) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every span, in order."""
     found: list[tuple[int, int, int]] = []
     lowered = text.lower()
@@ -169,11 +214,11 @@ def scan(text: str) -> list[tuple[str, int, int]]:
         found += [(match.start(), 1, match.end()) for match in ACCESS.finditer(text)]
     if max(map(len, text.split()), default=0) >= SHORTEST:
         found += [(match.start(), 2, match.end()) for match in HEX.finditer(text)]
-        found += [(start, 3, end) for start, end in _random(text, found)]
+        found += [(start, 3, end) for start, end in _random(text, found, logs)]
     return [(KINDS[kind], start, end) for start, kind, end in sorted(found)]
 
 
-def _random(text: str, known: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+def _random(text: str, known: list[tuple[int, int, int]], logs: list[list[float]]) -> Iterator[tuple[int, int]]:
     ends = sorted((start, end) for start, _, end in known)
     candidates, at, reach = [], 0, 0
     for match in TOKEN.finditer(text):
@@ -182,10 +227,42 @@ def _random(text: str, known: list[tuple[int, int, int]]) -> Iterator[tuple[int,
             at += 1
         if reach <= match.start():
             candidates.append(match)
-    for i in discoveries([match[0] for match in candidates]):
+    for i in discoveries([match[0] for match in candidates], logs):
         yield candidates[i].span()
 
 
+_LONG = re.compile(TOKEN.pattern.encode())
+_CODES = bytes(ord(chr(i).lower()) - 96 if chr(i).isascii() and chr(i).isalpha() else 0 for i in range(256))
+
+
+def pair_counts(text: bytes) -> np.ndarray:
+    """How often each letter (0 for none, case ignored) follows each, outside runs that are tested."""
+    codes = np.frombuffer(b"\0" + _LONG.sub(b" ", text).translate(_CODES), dtype=np.uint8)
+    counts = np.zeros(729, dtype=np.int64)
+    for start in range(0, len(codes) - 1, 1 << 20):
+        part = codes[start : start + (1 << 20) + 1].astype(np.int64)
+        counts += np.bincount(part[:-1] * 27 + part[1:], minlength=729)
+    return counts
+
+
+def learn(docs: DataFrame, text: str = "text") -> list[list[float]]:
+    """`letter_logs` of all documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(729, dtype=np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                texts = batch.column(0).slice(start, SLICE).to_pylist()
+                counts += pair_counts("\n".join(text or "" for text in texts).encode())
+        yield pa.RecordBatch.from_arrays([pa.array(range(729), pa.int64()), pa.array(counts)], names=["place", "n"])
+
+    counted = docs.select(F.col(f"`{text}`").alias("given")).mapInArrow(run, "place long, n long")
+    counts = [0] * 729
+    for row in counted.groupBy("place").agg(F.sum("n").alias("n")).collect():
+        counts[row["place"]] = row["n"]
+    return letter_logs(counts)
+
+
 SPANS = T.ArrayType(
     T.StructType(
         [T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]
@@ -196,6 +273,7 @@ SPANS = T.ArrayType(
 def find_secrets(docs: DataFrame, text: str = "text", into: str = "secrets", keep: list[str] | None = None) -> DataFrame:
     """`docs` (or its columns in `keep`) with an array of (kind, start, end) as a last column."""
     names = docs.columns if keep is None else keep
+    logs = learn(docs, text)
     same = [F.col(f"`{name}`").alias(f"kept_{i}") for i, name in enumerate(names)]
     fields = docs.select(*same).schema.add("made", SPANS)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -205,7 +283,7 @@ def find_secrets(docs: DataFrame, text: str = "text", into: str = "secrets", kee
             for start in range(0, batch.num_rows, SLICE):
                 *kept, texts = batch.slice(start, SLICE).columns
                 spans = [
-                    [{"kind": kind, "start": a, "end": b} for kind, a, b in scan(text or "")]
+                    [{"kind": kind, "start": a, "end": b} for kind, a, b in scan(text or "", logs)]
                     for text in texts.to_pylist()
                 ]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(spans, kind)], names=fields.names)
