@@ -276,6 +276,38 @@ def test_long_words_are_text():
     assert [secrets.scan(word) for word in words] == [[]] * len(words)
 
 
+@pytest.mark.parametrize("alphabet", ["base 62", "upper hex", "base 32", "base 64"])
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("AWS_SECRET_ACCESS_KEY=", ""), ("https://host/path?user=me&sig=", "&x=1"), ("path/with-dash/", ""), ("home/user/", "-copy/more_words"),
+        ("NAME=value=", "=other"), ("first_part-second/", " password=hunter22"), ("export KEY=\"", "\""),
+    ],
+)
+def test_keys_inside_runs_are_found(alphabet, before, after):
+    rng = random.Random(6)
+    exact = covered = 0
+    for _ in range(100):
+        key = "".join(rng.choice(secrets.ALPHABETS[alphabet]) for _ in range(40))
+        spans = [(a, b) for kind, a, b in secrets.scan(before + key + after) if kind == "random"]
+        exact += spans == [(len(before), len(before) + 40)]
+        covered += any(a < len(before) + 40 and b > len(before) for a, b in spans)
+    assert covered >= 97
+    # A base 64 key has signs of its own.
+    assert exact >= (80 if alphabet == "base 64" else 90)
+
+
+def test_runs_are_cut():
+    key, other = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEqAkPLpKoY", "q8Zt0LxVw3RfYh7Kd2NcUjP5"
+    assert secrets.scan(f"AWS_SECRET_ACCESS_KEY={key}") == [("random", 22, 63)]
+    assert secrets.scan(f"{other}={key}==") == [("random", 0, 24), ("random", 25, 68)]
+    # What a pattern takes ends a run; what stands before it is tested, with the sign at its end.
+    assert secrets.scan(f"{other}-token={other}") == [("random", 0, 25), ("assign", 25, 55)]
+    # The battery rejects both together.
+    assert secrets.scan("Z9" * 20 + "/" + other) == [("random", 41, 65)]
+    assert secrets.scan("a/b/c/" * 20 + "=" * 30 + "-" * 30) == []
+
+
 # 6: token file
 
 

@@ -1,7 +1,9 @@
 """Secret scans: patterns of known secrets, and a battery of randomness tests for the rest.
 
-Every run of TOKEN characters outside the patterns' matches gets an encoding: the narrowest of
-ALPHABETS that holds it. A string passes the battery if none of three tests rejects that its
+Runs of TOKEN characters are cut at the patterns' matches and at `=` (what pads a run's end stays).
+Of what is left, the stretch between signs that is the likeliest to be random, in any of ALPHABETS,
+is a string, and the parts before and after it are searched alike; its encoding is the narrowest
+alphabet that holds it. A string passes the battery if none of three tests rejects that its
 characters are drawn evenly from that alphabet: chi-squared uniformity, runs above and below the
 middle of the alphabet, and serial correlation of neighbours (P_RANDOM, shared among the three).
 Short strings pass such tests whatever they are. So a string's evidence is how much likelier even
@@ -24,7 +26,9 @@ from __future__ import annotations
 
 import math
 import re
+from collections import deque
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +50,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 SHORTEST = 20
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+# What `=` parts in a run, the last with what pads it, and what signs part in that.
+PIECE = re.compile(r"[^=]+(?:=+\Z)?")
+ATOM = re.compile(r"[^+/_-]+")
 ASSIGNED = 6
 KEYWORDS = ("password", "passwd", "secret", "token", "api")
 
@@ -161,7 +168,8 @@ def text_logs(string: str, logs: list[list[float]]) -> list[float]:
     found, before, last = [], -1, 0
     for letter in string:
         kind = _class(letter)
-        chance = math.log(1 / 4) if before < 0 else _STAY if kind == before else _CHANGE
+        # After a sign, as at the start, a word of any class may begin.
+        chance = math.log(1 / 4) if before in (-1, 3) else _STAY if kind == before else _CHANGE
         if kind < 2:
             place = ord(letter.lower()) - 96
             # A capital after anything but a capital begins a word.
@@ -184,22 +192,87 @@ def evidence(string: str, encoding: str, logs: list[list[float]]) -> float:
     return even - max(sum(text_logs(string, taught)) for taught in (logs, UNTAUGHT))
 
 
-def discoveries(strings: list[str], logs: list[list[float]] = UNTAUGHT) -> list[int]:
-    """Which of a text's strings are random, by weighted false-discovery control."""
-    bare = [(i, string.rstrip("=")) for i, string in enumerate(strings)]
-    tested = [(i, string, encoding_of(string)) for i, string in bare if len(string) >= SHORTEST]
-    tested = [(i, string, kind) for i, string, kind in tested if kind]
-    if not tested:
+def _stretch(
+    string: str, atoms: list[tuple[int, int]], used: list[frozenset[str]], sums: list[float], first: int, last: int
+) -> tuple[float, int, int]:
+    """The stretch of `atoms` from `first` up to `last` that even draws from one alphabet favour most.
+
+    `atoms` are the (start, end) between signs, `used` their characters, and `sums` the text_logs
+    before each place. The result is (log ratio, first, last) with the last included.
+    """
+    best = -math.inf, first, first
+    for name, members in _MEMBERS.items():
+        each = math.log(len(ALPHABETS[name]))
+        # `heads` are the atoms where a stretch can begin; `low` is the best that is SHORTEST long.
+        heads, low = deque(), None
+        for i in range(first, last):
+            start, end = atoms[i]
+            if i == first or not members.issuperset(string[atoms[i - 1][1] : start]) or not used[i - 1] <= members:
+                heads, low = deque(), None
+            if not used[i] <= members:
+                continue
+            heads.append(i)
+            while heads and end - atoms[heads[0]][0] >= SHORTEST:
+                place = atoms[heads[0]][0]
+                low = max(low or (-math.inf, 0), (sums[place] + place * each, heads.popleft()))
+            if low is not None:
+                best = max(best, (low[0] - sums[end] - end * each, low[1], i))
+    return best
+
+
+def strings_in(string: str, logs: list[list[float]]) -> list[tuple[int, int, float]]:
+    """(start, end, evidence) of the strings of a run without `=`; those of no evidence are left out.
+
+    Half of what is believed goes to the whole run, a quarter evenly to its parts between signs, the
+    rest evenly to all stretches of those.
+    """
+    atoms = [match.span() for match in ATOM.finditer(string)]
+    if not atoms:
         return []
-    mean = sum(len(string) for _, string, _ in tested) / len(tested)
-    ranked = sorted(
-        ((evidence(string, kind, logs) + math.log(len(string) / mean), i) for i, string, kind in tested), reverse=True
-    )
+    used = [frozenset(string[start:end]) for start, end in atoms]
+    sums = [0.0, *accumulate(text_logs(string, logs))]
+    whole = encoding_of(string)
+    n = len(atoms)
+    weight = evidence(string, whole, logs) - math.log(min(2, n)) if whole else -math.inf
+    found, parts = [], [(0, n)]
+    while parts:
+        first, last = parts.pop()
+        gain, a, b = _stretch(string, atoms, used, sums, first, last)
+        if gain <= 0:
+            continue
+        start, end = atoms[a][0], atoms[b][1]
+        own = evidence(string[start:end], encoding_of(string[start:end]), logs)
+        own -= math.log(4 * n) if a == b else math.log(2 * n * (n + 1))
+        if (first, last) == (0, n) and weight > max(0, own):
+            return [(0, len(string), weight)]
+        if own > -math.inf:
+            found.append((start, end, own))
+        elif a < b:
+            # The battery rejects the whole stretch: each part by itself.
+            parts += [(i, i + 1) for i in range(a, b + 1)]
+        parts += [(first, a), (b + 1, last)]
+    return sorted(part for part in found if part[2] > 0)
+
+
+def discoveries(strings: list[str], logs: list[list[float]] = UNTAUGHT) -> list[tuple[int, int, int]]:
+    """(number, start, end) of what is random in a text's runs, by weighted false-discovery control."""
+    tested, spans = 0, []
+    for i, string in enumerate(strings):
+        bare = string.rstrip("=")
+        if len(bare) >= SHORTEST:
+            own = strings_in(bare, logs)
+            # What pads the end of a run belongs to its last string.
+            spans += [(i, a, len(string) if b == len(bare) else b, b - a, weight) for a, b, weight in own]
+            tested += max(1, len(own))
+    if not spans:
+        return []
+    mean = sum(length for _, _, _, length, _ in spans) / len(spans)
+    ranked = sorted(((weight + math.log(length / mean), i, a, b) for i, a, b, length, weight in spans), reverse=True)
     last = 0
-    for rank, (weighed, _) in enumerate(ranked, 1):
-        if weighed >= math.log(len(ranked) / (FALSE_DISCOVERIES * rank)):
+    for rank, (weighed, *_) in enumerate(ranked, 1):
+        if weighed >= math.log(tested / (FALSE_DISCOVERIES * rank)):
             last = rank
-    return sorted(i for _, i in ranked[:last])
+    return sorted((i, a, b) for _, i, a, b in ranked[:last])
 
 
 def scan(text: str, logs: list[list[float]] = UNTAUGHT) -> list[tuple[str, int, int]]:
@@ -222,13 +295,19 @@ def _random(text: str, known: list[tuple[int, int, int]], logs: list[list[float]
     ends = sorted((start, end) for start, _, end in known)
     candidates, at, reach = [], 0, 0
     for match in TOKEN.finditer(text):
+        place = max(match.start(), reach)
         while at < len(ends) and ends[at][0] < match.end():
+            candidates += _pieces(text, place, ends[at][0])
             reach = max(reach, ends[at][1])
+            place = max(place, reach)
             at += 1
-        if reach <= match.start():
-            candidates.append(match)
-    for i in discoveries([match[0] for match in candidates], logs):
-        yield candidates[i].span()
+        candidates += _pieces(text, place, match.end())
+    for i, start, end in discoveries([text[a:b] for a, b in candidates], logs):
+        yield candidates[i][0] + start, candidates[i][0] + end
+
+
+def _pieces(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    return [match.span() for match in PIECE.finditer(text, start, end) if len(match[0]) >= SHORTEST]
 
 
 _LONG = re.compile(TOKEN.pattern.encode())
