@@ -158,6 +158,24 @@ def test_crowded_turns_are_dealt_to_lanes(spark):
     assert max(view.n_turns for view in views) < 40
 
 
+@pytest.mark.parametrize("parts", [True, False])
+@pytest.mark.parametrize("size", [7, 64])
+def test_crowded_turns_stay_in_order(spark, size, parts):
+    rng = random.Random(8)
+    rows = [(1, turn, rng.choice(["ann", "bob", None]), f"{turn} {i} é") for turn in range(9) for i in range(150 if turn in (3, 4) else 1)]
+    rows += [(2, None, rng.choice(["ann", "bob"]), f"{i}") for i in range(200)] + [(2, 0, "ann", "end"), (None, 1, "ann", "a")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    found = {}
+    views = chat.rotate(frame, size=size, parts=parts).orderBy("conv_id", "participant", "block", "part").collect()
+    for row in views:
+        text, masks = found.get((row.conv_id, row.participant), ("", []))
+        masks = masks + [(len(text) + a, len(text) + b) for a, b in row.masks]
+        found[row.conv_id, row.participant] = text + row.rendered, masks
+    assert found == brute_force.views(rows)
+    if parts:
+        assert max(view.n_turns for view in views) <= size
+
+
 # 4: BPE
 
 

@@ -58,6 +58,18 @@ def test_query_equals_oracle(spark, duck, name):
     assert rows_of(frame.select(*columns)) == sorted(expected.select(*columns).fetchall(), key=repr)
 
 
+def test_chat_query_equals_oracle_on_crowded_turns(spark, tmp_path):
+    rows = [(c, t, f"s{i % 3}", f"{c} {t} {i}") for c in (1, 2) for t in (0, 1, 70) for i in range(1 if t == 0 else 150 * c)]
+    rows += [(3, None, "a" if i % 2 else None, f"{i}") for i in range(100)] + [(3, 5, "b", None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    frame = run(spark, "op3_chat_rotation", tmp_path)
+    columns = sorted(frame.columns)
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+        expected = connection.sql(oracle.oracles()["op3_chat_rotation"]).select(*columns).fetchall()
+    assert rows_of(frame.select(*columns)) == sorted(expected, key=repr)
+
+
 def test_rules_part_good_from_junk(spark):
     kept = {row.doc_id: row for row in run(spark, "op1_quality_rules", Path("/root/testdata/sf0.1")).collect()}
     labels = duckdb.sql("SELECT doc_id, quality FROM '/root/testdata/sf0.1/labels.parquet'").fetchall()

@@ -4,12 +4,14 @@ For every participant of a conversation the dialogue is rendered with that speak
 assistant and the others as named users. Masks are the character spans, in the rendered text,
 of what the assistant says and its end mark: the part to learn from.
 
-A rendering comes in blocks of BLOCK turn numbers, so an endless conversation never meets in
-one task: blocks in order, joined without a separator, are the whole dialogue, and most
-conversations have one block. Turns that crowd on one number (over BLOCK of them) are dealt to
-lanes by a hash, which then are blocks of their own.
-
-Defined cases: turns come by number (NULL first, as block -1), lane, speaker and text. Rows alike
+A rendering comes in blocks of BLOCK turn numbers, and a block in parts of at most BLOCK turns, cut
+by rank in the one order of all turns: however many turns share a number, parts in order, joined
+without a separator, are the whole dialogue. An endless conversation never meets in one task, and
+most conversations have one block of one part. Ranks are taken only where a block holds more than
+BLOCK turns: those rows are sorted by ranges, and a rank is the place in the range plus the rows of
+the ranges before. `rotate(parts=False)` leaves blocks whole, so that the longest block is a row.
+
+Defined cases: turns come by number (NULL first, as block -1), speaker and text. Rows alike
 in conversation, number, speaker and text are one turn. A NULL speaker is named `unknown`, a NULL
 text is empty; rows with a NULL conversation id form one conversation. Other columns are dropped.
 """
@@ -18,6 +20,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tillroll.llm.common import let, staged
 
 BLOCK = 64
 # Fixed marks of the rendered format.
@@ -37,26 +42,38 @@ def turns(rows: DataFrame, conversation: str, turn: str, speaker: str, text: str
     ).distinct()
 
 
-def blocks(said: DataFrame, size: int = BLOCK) -> DataFrame:
-    """(dialogue, block, lane, turns): each block's turns in order."""
-    place = F.struct("dialogue", "turn")
+def ranked(said: DataFrame, size: int) -> DataFrame:
+    """`said`, which has blocks, with each turn's part of its block: its rank there by `size`."""
+    home = F.struct("dialogue", "block")
     crowded = (
-        said.groupBy(place.alias("place"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > size)
-        .select("place", F.ceil(F.col("n") / size).alias("lanes"))
+        said.groupBy(home.alias("home")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size).select("home")
     )
-    lane = F.when(F.col("lanes").isNull(), F.lit(0).cast("long")).otherwise(
-        1 + F.pmod(F.xxhash64("speaker", "text"), F.col("lanes"))
+    homed = said.withColumn("home", home)
+    order = ["home", "turn", "speaker", "text"]
+    full = homed.join(crowded, "home", "left_semi").repartitionByRange(*order).sortWithinPartitions(*order)
+    # Staged, since the places are read twice and ranges may differ between two runs.
+    placed = staged(said.sparkSession, full.withColumn("place", F.monotonically_increasing_id()), "turns")
+    stretch = F.shiftright("place", 33).alias("stretch")
+    before = Window.partitionBy("home").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = (
+        placed.groupBy("home", stretch)
+        .agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least"))
+        .select("home", "stretch", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("least")).alias("shift"))
     )
+    names = ["dialogue", "block", "turn", "speaker", "text"]
+    part = F.floor((F.col("place") + F.col("shift")) / size).cast("long").alias("part")
+    cut = placed.withColumn("stretch", stretch).join(stretches, ["home", "stretch"]).select(*names, part)
+    rest = homed.join(crowded, "home", "left_anti").select(*names, F.lit(0).cast("long").alias("part"))
+    return rest.unionByName(cut)
+
+
+def blocks(said: DataFrame, size: int = BLOCK, parts: bool = True) -> DataFrame:
+    """(dialogue, block, part, turns): each part's turns in order."""
     block = F.coalesce(F.floor(F.col("turn") / size), F.lit(-1)).cast("long")
-    # Lanes keep to one turn number, which places them between the blocks' other turns.
-    number = F.when(F.col("lanes").isNotNull(), F.col("turn"))
-    return (
-        said.withColumn("place", place)
-        .join(crowded, "place", "left")
-        .groupBy("dialogue", block.alias("block"), number.alias("number"), lane.alias("lane"))
-        .agg(F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns"))
+    blocked = said.withColumn("block", block)
+    dealt = ranked(blocked, size) if parts else blocked.withColumn("part", F.lit(0).cast("long"))
+    return dealt.groupBy("dialogue", "block", "part").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns")
     )
 
 
@@ -68,26 +85,9 @@ def _rendered(turn: Column, participant: Column) -> tuple[Column, Column]:
     return head, F.concat(turn["text"], F.lit(END))
 
 
-def rotate(
-    rows: DataFrame,
-    conversation: str = "conv_id",
-    turn: str = "turn",
-    speaker: str = "role",
-    text: str = "text",
-    size: int = BLOCK,
-) -> DataFrame:
-    """(conversation, participant, block, number, lane, n_turns, rendered, masks).
-
-    `masks` is an array of (start, end) in characters of `rendered`, ends exclusive. `number` is
-    the crowded turn number that a lane block holds, NULL for other blocks.
-    """
-    said = turns(rows, conversation, turn, speaker, text)
-    people = said.select("dialogue", F.col("speaker").alias("participant")).distinct()
-    views = blocks(said, size).join(people, "dialogue")
-    me = F.col("participant")
-    rendered = F.array_join(
-        F.transform("turns", lambda turn: F.concat(*_rendered(turn, me))), ""
-    )
+def _drawn(turns: Column, me: Column) -> Column:
+    """(rendered, masks) of a few turns."""
+    rendered = F.array_join(F.transform(turns, lambda turn: F.concat(*_rendered(turn, me))), "")
 
     def step(state: Column, turn: Column) -> Column:
         head, body = _rendered(turn, me)
@@ -101,13 +101,61 @@ def rotate(
     begun = F.struct(
         F.lit(0).alias("length"), F.array().cast("array<struct<start:int,end:int>>").alias("masks")
     )
-    return views.select(
+    return F.struct(
+        rendered.alias("rendered"), F.aggregate(turns, begun, step, lambda state: state["masks"]).alias("masks")
+    )
+
+
+def _joined(pieces: Column) -> Column:
+    """(rendered, masks) of pieces of those, in order."""
+
+    def moved(starts: Column) -> Column:
+        return F.flatten(
+            F.zip_with(
+                pieces,
+                F.slice(starts, 1, F.size(pieces)),
+                lambda piece, start: F.transform(
+                    piece["masks"],
+                    lambda mask: F.struct((mask["start"] + start).alias("start"), (mask["end"] + start).alias("end")),
+                ),
+            )
+        )
+
+    starts = F.aggregate(
+        pieces,
+        F.array(F.lit(0)),
+        lambda starts, piece: F.concat(starts, F.array(F.element_at(starts, -1) + F.length(piece["rendered"]))),
+    )
+    rendered = F.array_join(F.transform(pieces, lambda piece: piece["rendered"]), "")
+    return F.struct(rendered.alias("rendered"), let(starts, moved).alias("masks"))
+
+
+def rotate(
+    rows: DataFrame,
+    conversation: str = "conv_id",
+    turn: str = "turn",
+    speaker: str = "role",
+    text: str = "text",
+    size: int = BLOCK,
+    parts: bool = True,
+) -> DataFrame:
+    """(conversation, participant, block, part, n_turns, rendered, masks).
+
+    `masks` is an array of (start, end) in characters of `rendered`, ends exclusive. Views of a
+    participant in order of block and part are the whole dialogue; without `parts`, `part` is 0.
+    """
+    said = turns(rows, conversation, turn, speaker, text)
+    people = said.select("dialogue", F.col("speaker").alias("participant")).distinct()
+    views = blocks(said, size, parts).join(people, "dialogue")
+    # Masks are gathered over BLOCK turns at a time, as each step copies those before.
+    steps = F.sequence(F.lit(0), F.floor((F.size("turns") - 1) / BLOCK).cast("int"))
+    pieces = F.transform(steps, lambda i: _drawn(F.slice("turns", i * BLOCK + 1, F.lit(BLOCK)), F.col("participant")))
+    return views.withColumn("view", let(pieces, _joined)).select(
         F.col("dialogue.id").alias(conversation),
         "participant",
         "block",
-        "number",
-        "lane",
+        "part",
         F.size("turns").cast("long").alias("n_turns"),
-        rendered.alias("rendered"),
-        F.aggregate("turns", begun, step, lambda state: state["masks"]).alias("masks"),
+        "view.rendered",
+        "view.masks",
     )
