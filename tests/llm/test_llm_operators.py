@@ -121,6 +121,23 @@ def test_mix_defined_cases(spark, docs, nothing):
     assert mixing.mix(spark, nothing).count() == 0
 
 
+def test_repairs_keep_to_their_source(spark):
+    # The same texts without an id lie in every source, so each source repairs its own rows only.
+    rows = [(None, "w " * (3 + i % 40), source) for source in ("a", "b", "c", None) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    measured = mixing.measured(frame)
+    solved, changes = mixing.copies(spark, measured)
+    found = mixing.with_copies(measured, solved, changes).collect()
+    assert len(found) == len(rows)
+    assert all(0 <= row.copies <= 3 for row in found)
+    taken = {}
+    for row in found:
+        own = taken.setdefault(row.origin.source, [row.target, 0])
+        own[1] += row["size"] * row.copies
+    # Copies come three at a time: equal rows change together.
+    assert all(words == pytest.approx(target, abs=12) for target, words in taken.values())
+
+
 def test_rates_are_exponential_in_the_size(spark):
     sizes = [(("a",), size, 50) for size in (10, 20, 40, 80)] + [(("b",), size, 50) for size in (10, 30)]
     frame = spark.createDataFrame(sizes, "origin struct<source:string>, size long, n long")

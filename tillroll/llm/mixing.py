@@ -15,7 +15,7 @@ source or size are joined by whatever join their measured size allows. Only the
 sources, one row each, meets in one task. The driver sees one number per step.
 
 Defined cases: the size is the number of words (NULL text: 0). NULL is a source like any other.
-Rows that agree in id and text get the same copies. A document of size 0 is taken once and counts nothing. An
+Rows that agree in id, text and source get the same copies. A document of size 0 is taken once and counts nothing. An
 empty table gives an empty mix. Other columns stay as they are.
 """
 
@@ -167,7 +167,7 @@ def _first_copies(rows: DataFrame, solved: DataFrame) -> DataFrame:
 
 
 def repairs(spark: SparkSession, rows: DataFrame, solved: DataFrame) -> DataFrame:
-    """(document, change): copies to add or take back, at most REPAIRS documents per source.
+    """(document, origin, change): copies to add or take back, at most REPAIRS documents per source.
 
     For each size up to LANES documents that may gain a copy, and as many that may lose one,
     stand by; each round picks, per source, the one that brings the taken words nearest to the
@@ -201,7 +201,7 @@ def repairs(spark: SparkSession, rows: DataFrame, solved: DataFrame) -> DataFram
     for _ in range(REPAIRS):
         left = standby
         for earlier in picked:
-            left = left.join(earlier, "document", "left_anti")
+            left = left.join(earlier, ["document", "origin"], "left_anti")
         best = (
             left.join(state, "origin")
             .groupBy("origin")
@@ -226,14 +226,14 @@ def repairs(spark: SparkSession, rows: DataFrame, solved: DataFrame) -> DataFram
             "repairs",
         )
         state = step.select("origin", "missing")
-        picked.append(step.filter("document IS NOT NULL").select("document"))
-        changes = step.filter("document IS NOT NULL").select("document", "change")
+        changes = step.filter("document IS NOT NULL").select("document", "origin", "change")
+        picked.append(changes.drop("change"))
         found = changes if found is None else found.union(changes)
     return staged(spark, found, "repairs")
 
 
 def copies(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The solution: (origin, source_size, target, slope) and (document, change)."""
+    """The solution: (origin, source_size, target, slope) and (document, origin, change)."""
     sizes = staged(
         spark, rows.groupBy("origin", "size").agg(F.count(F.lit(1)).alias("n")), "sizes"
     )
@@ -244,7 +244,7 @@ def copies(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def with_copies(rows: DataFrame, solved: DataFrame, changes: DataFrame) -> DataFrame:
     """Rows that hold document, origin and size, with source_size, target and copies."""
     first = _first_copies(rows, solved).drop("slope")
-    return first.join(changes, "document", "left").withColumn(
+    return first.join(changes, ["document", "origin"], "left").withColumn(
         "copies", F.col("copies") + F.coalesce("change", F.lit(0))
     ).drop("change")
 
