@@ -443,6 +443,24 @@ def test_language(spark, docs, nothing):
     assert {row.lang_pred for row in language.predict(docs, untaught).collect()} == {"und"}
 
 
+def test_languages_come_to_the_driver_packed(spark, monkeypatch):
+    rows = [(f"{a}{b}{c} {c}{a}", lang) for lang in ("fr", "en", "de") for a in "abcd" for b in "efé" for c in string.ascii_lowercase]
+    frame = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    kind, shapes = type(frame), []
+    whole = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: shapes.append(rows := whole(self)) or rows)
+    monkeypatch.setattr(kind, "toArrow", None)
+    names, model = language.learn(frame)
+    assert names == ["de", "en", "fr"] and sum(map(len, shapes)) == 3
+    counts = np.full(language.BUCKETS, language.SMOOTHING)
+    for text, lang in rows:
+        if lang == "en":
+            for trigrams in language._trigrams(text):
+                np.add.at(counts, trigrams, 1)
+    assert model.dtype == np.float32
+    assert model[1].tolist() == pytest.approx(np.log(counts / counts.sum()).tolist(), rel=1e-6)
+
+
 # 9: SimHash
 
 

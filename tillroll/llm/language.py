@@ -7,7 +7,8 @@ sets (by falling proportion) with the best penalised likelihood. Overlapping tri
 letter about three times, so their log-likelihood counts a third.
 
 Scale: learning is one pass that counts per task and language before it shuffles, so each task
-sends at most BUCKETS rows per language; prediction is a projection. The model holds BUCKETS
+sends at most BUCKETS rows per language; an executor packs each language's into one array,
+so that the driver holds no more than the model; prediction is a projection. The model holds BUCKETS
 counts per learned language; more than LANGUAGES learned languages are an error, which bounds
 what is sent to the executors (256 languages: 64 MB).
 
@@ -83,6 +84,14 @@ def _count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         )
 
 
+def _packed(counts: pa.Table) -> pa.Table:
+    """One row for one language: the log-probabilities of all trigrams as bytes."""
+    own = np.full(BUCKETS, SMOOTHING)
+    own[counts["bucket"].to_numpy()] += counts["n"].to_numpy()
+    logs = np.log(own / own.sum()).astype(np.float32)
+    return pa.table({"lang": counts["lang"].slice(0, 1), "logs": pa.array([logs.tobytes()], pa.binary())})
+
+
 def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[list[str], np.ndarray]:
     """The learned languages in order, and the log-probability of each trigram in each."""
     rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
@@ -92,17 +101,15 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[list
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    seen = counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(LANGUAGES + 1).collect()
-    if len(seen) > LANGUAGES:
+    packed = counts.groupBy("lang").applyInArrow(_packed, "lang string, logs binary")
+    found = packed.limit(LANGUAGES + 1).collect()
+    if len(found) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages to learn")
-    names = sorted(row["lang"] for row in seen)
-    found = counts.toArrow()
-    model = np.full((len(names), BUCKETS), SMOOTHING)
-    if names:
-        place = {name: i for i, name in enumerate(names)}
-        own = np.array([place[name] for name in found["lang"].to_pylist()], dtype=np.int64)
-        model[own, found["bucket"].to_numpy()] += found["n"].to_numpy()
-    return names, np.log(model / model.sum(axis=1, keepdims=True)).astype(np.float32)
+    found.sort(key=lambda row: row["lang"])
+    model = np.empty((len(found), BUCKETS), dtype=np.float32)
+    for i, row in enumerate(found):
+        model[i] = np.frombuffer(row["logs"], dtype=np.float32)
+    return [row["lang"] for row in found], model
 
 
 def _mixture(chances: np.ndarray, counts: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, float]:
