@@ -1,0 +1,119 @@
+"""The prefix trie against a plain trie of Python tuples, with bands so low that several levels are needed."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import duckdb
+import pytest
+
+from conftest import rows_of
+from tillroll.llm import oracle, prefix_trie, queries
+
+SCHEMA = "role string, conv_id long, depth string, turn long, text string, low string"
+
+
+def rebuilt(rows):
+    said = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            said[conv].append((turn is not None, turn or 0, (role or "").encode(), (text or "").encode()))
+    ordered = {conv: [turn[2:] for turn in sorted(turns)] for conv, turns in said.items()}
+    heads = {conv: zlib.crc32(str(conv).encode()) % 9 for conv in ordered}
+    return {conv: ordered.get(conv - conv % 5, [])[: heads[conv]] + own[heads[conv] :] for conv, own in ordered.items()}
+
+
+def plain_trie(sequences):
+    members, ends = defaultdict(list), defaultdict(list)
+    for conv, turns in sequences.items():
+        for depth in range(len(turns) + 1):
+            members[tuple(turns[:depth])].append(conv)
+        ends[tuple(turns)].append(conv)
+    children = defaultdict(int)
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, convs in members.items():
+        own = (len(convs) - 1) * (len(node[-1][1]) if node else 0)
+        for depth in range(len(node) + 1):
+            leaves[node[:depth]] += node not in children
+            saved[node[:depth]] += own
+    return sorted(
+        (
+            (min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs), children[node], leaves[node], saved[node],
+             hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest())
+            for node, convs in members.items()
+        ),
+        key=repr,
+    )
+
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def store(spark, folder, rows):
+    given = [(role, conv, "clash", turn, text, "clash") for conv, turn, role, text in rows]
+    spark.createDataFrame(given, SCHEMA).repartition(3).write.parquet(f"{folder}/conversations.parquet")
+
+
+def found(spark, folder):
+    return rows_of(queries.queries()["op12_prefix_trie"](spark, str(folder)).select(*COLUMNS))
+
+
+def oracle_rows(folder):
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet/*.parquet'")
+        return sorted(connection.sql(oracle.oracles()["op12_prefix_trie"]).select(*COLUMNS).fetchall(), key=repr)
+
+
+def random_conversations(seed, longest):
+    """Few roles and texts, so that prefixes are shared; ties, repeated rows, NULLs everywhere, gaps in ids."""
+    rng = random.Random(seed)
+    rows = []
+    for conv in [*range(0, 60, 2), *range(100, 160), None, 10**12]:
+        for turn in range(rng.randrange(1, longest)):
+            number = None if rng.random() < 0.1 else turn - (rng.random() < 0.1)
+            rows += [(conv, number, rng.choice(["user", None, ""]), rng.choice(["é", "", None, "hi"]) if turn % 3 else "same")] * rng.choice([1, 1, 1, 2])
+    return rows
+
+
+@pytest.mark.parametrize(("band", "longest"), [(2, 24), (3, 12), (32, 6)])
+def test_trie_equals_a_plain_one(spark, tmp_path, monkeypatch, band, longest):
+    monkeypatch.setattr(prefix_trie, "BAND", band)
+    monkeypatch.setattr(prefix_trie, "STRETCH", 64)
+    rows = random_conversations(band, longest)
+    store(spark, tmp_path, rows)
+    assert found(spark, tmp_path) == plain_trie(rebuilt(rows))
+
+
+def test_one_very_long_conversation(spark, tmp_path):
+    """A conversation of 3,000 turns, most under one number or none, and many that share its first turn."""
+    rows = [(5, None if i % 3 else 7, "user", f"t{i % 1000}") for i in range(3000)] + [(5 + i, None, "user", "t1") for i in range(40)]
+    store(spark, tmp_path, rows)
+    assert found(spark, tmp_path) == plain_trie(rebuilt(rows))
+
+
+def test_oracle_equals_the_plain_trie(spark, tmp_path):
+    rows = random_conversations(1, 12)
+    store(spark, tmp_path, rows)
+    assert oracle_rows(tmp_path) == plain_trie(rebuilt(rows)) == found(spark, tmp_path)
+
+
+def test_empty_tables_and_rows_without_a_conversation(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    store(spark, tmp_path / "none", [])
+    assert found(spark, tmp_path / "none") == []
+    (tmp_path / "null").mkdir()
+    store(spark, tmp_path / "null", [(None, 1, "user", "x")])
+    assert found(spark, tmp_path / "null") == []
+
+
+def test_copies_of_one_conversation(spark, tmp_path):
+    """Thousands of equal conversations end at one node: their ids come in order, in several pieces."""
+    rows = [(conv, turn, "user", "long " * 300) for conv in range(0, 15_000, 5) for turn in range(3)]
+    store(spark, tmp_path, rows)
+    assert found(spark, tmp_path) == plain_trie(rebuilt(rows))

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, chat, language, lattice, line_dedup, mixing, quality, secrets, simhash, token_file
+from tillroll.llm import (
+    bpe,
+    chat,
+    filter_audit,
+    language,
+    lattice,
+    license_scan,
+    line_dedup,
+    mixing,
+    prefix_trie,
+    quality,
+    secrets,
+    simhash,
+    token_file,
+)
 from tillroll.llm.common import documents, staged
 from tillroll.session import scratch_path
 
@@ -116,6 +130,38 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint, "component_id")
 
 
+def license_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.find_licenses(documents(spark, sf_dir), keep=["doc_id"])
+    base = F.filter("detections", lambda one: one["tier"] == license_scan.BASE)
+    starts = F.transform(base, lambda one: one["start"])
+
+    def labels(detections):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(detections, lambda one: one["label"]))), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels("detections").alias("labels"),
+        "score",
+        F.size("detections").cast("long").alias("n_detections"),
+    )
+
+
+def prefix_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said, sizes = prefix_trie.turns(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    head = F.crc32(F.col("conv").cast("string").cast("binary")) % 9
+    lender = F.col("conv") - F.col("conv") % 5
+    return prefix_trie.trie(spark, prefix_trie.with_borrowed_heads(said, sizes, head, lender, longest=8))
+
+
+def audited_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": quality_rules,
@@ -128,4 +174,7 @@ def queries() -> dict[str, Query]:
         "op6_token_blocks": token_blocks,
         "op9_simhash": simhash_groups,
         "op10_line_dedup": line_windows,
+        "op11_license_scan": license_labels,
+        "op12_prefix_trie": prefix_nodes,
+        "op13_filter_audit": audited_filters,
     }
