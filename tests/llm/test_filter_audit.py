@@ -8,7 +8,10 @@ from collections import Counter
 from itertools import permutations
 
 import duckdb
+import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from conftest import rows_of
 from tillroll.llm import filter_audit, oracle, queries, term_matrix
@@ -103,13 +106,14 @@ def test_matrix_holds_every_word_of_every_row(spark, folder, monkeypatch, limit)
     shards, dictionary = term_matrix.build(spark, docs)
     words = {row.term: bytes(row.word) for row in dictionary.collect()}
     every = sorted({word.encode() for _, text, _ in texts() for word in WORD.findall(text or "")})
-    assert [words[term] for term in range(len(words))] == every
+    assert sorted(words.values()) == every and min(words) >= 0
     rebuilt, given = [], []
     for shard in shards.collect():
-        assert len(shard.starts) == len(shard.docs) + 1 and shard.starts[-1] == len(shard.terms) == len(shard.counts)
+        starts, terms, counts = map(term_matrix.unpacked, (shard.starts, shard.terms, shard.counts))
+        assert len(starts) == len(shard.docs) + 1 and starts[-1] == len(terms) == len(counts)
         for i, doc in enumerate(shard.docs):
-            span = slice(shard.starts[i], shard.starts[i + 1])
-            entries = {words[term]: n for term, n in zip(shard.terms[span], shard.counts[span], strict=True)}
+            span = slice(starts[i], starts[i + 1])
+            entries = {words[term]: int(n) for term, n in zip(terms[span], counts[span], strict=True)}
             rebuilt.append((doc["doc_id"], doc["shard"], doc["a.b"], sorted(entries.items())))
     for doc, text, _ in texts():
         given.append((doc, "x", "z", sorted(Counter(word.encode() for word in WORD.findall(text or "")).items())))
@@ -118,6 +122,11 @@ def test_matrix_holds_every_word_of_every_row(spark, folder, monkeypatch, limit)
     assert totals == sorted(((doc, len(w := WORD.findall(text or "")), len(set(w))) for doc, text, _ in texts()), key=repr)
 
 
+@given(st.lists(st.integers(-(2**62), 2**62)))
+def test_packed_numbers_come_back(numbers):
+    assert term_matrix.unpacked(term_matrix.packed(np.array(numbers, np.int64))).tolist() == numbers
+
+
 def test_empty_tables(spark, folder):
     docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
     assert filter_audit.audit(spark, docs.limit(0), labels).count() == 0

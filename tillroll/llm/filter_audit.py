@@ -25,39 +25,56 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import term_matrix
-from tillroll.llm.common import staged, text_key
+from tillroll.llm.common import ship, staged, text_key
+
+ship(__name__)
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
 DISTINCT_PERCENT = 50
 CAPITAL_PERCENT = 3
-CAPITALS = "[A-Z]"
-SYMBOLS = "[#$%&*|]"
+SYMBOLS = b"#$%&*|"
 ORDERS = ["".join(order) for order in permutations(FILTERS)]
 BIT = {letter: 1 << i for i, letter in enumerate(FILTERS)}
 
 
+_NOT_CAPITALS = bytes(byte for byte in range(256) if not ord("A") <= byte <= ord("Z"))
+_CONTINUATION = bytes(range(0x80, 0xC0))
+
+
+def _capitals(text: bytes) -> int:
+    return len(text.translate(None, _NOT_CAPITALS))
+
+
+def _code_points(text: bytes) -> int:
+    return len(text.translate(None, _CONTINUATION))
+
+
+def _symbols(text: bytes) -> int:
+    return len(text) - len(text.translate(None, SYMBOLS))
+
+
+MEASURES = {"capitals": _capitals, "points": _code_points, "symbols": _symbols}
+
+
 def _bit(letter: str, failed: Column) -> Column:
     return F.when(failed, BIT[letter]).otherwise(0)
 
 
 def failures(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
     """(doc_id, part, n_words, n_terms, failed): `failed` is the sum of BIT over the failed filters."""
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keep = {
         "doc_id": F.col(f"`{doc_id}`"),
         "part": F.coalesce(F.col(f"`{part}`").cast("string"), F.lit("")),
-        "key": text_key(body),
-        "capitals": 100 * F.regexp_count(body, F.lit(CAPITALS)) > CAPITAL_PERCENT * F.length(body),
-        "symbols": body.rlike(SYMBOLS),
+        "key": text_key(F.coalesce(F.col(f"`{text}`"), F.lit(""))),
     }
-    shards, _ = term_matrix.build(spark, docs, text, keep)
+    shards, _ = term_matrix.build(spark, docs, text, keep, MEASURES)
     totals = term_matrix.row_totals(shards)
     own = (
         _bit("A", F.col("n_words") < LEAST_WORDS)
         + _bit("B", 100 * F.col("n_terms") < DISTINCT_PERCENT * F.col("n_words"))
-        + _bit("C", F.col("doc.capitals"))
-        + _bit("D", F.col("doc.symbols"))
+        + _bit("C", 100 * F.col("doc.capitals") > CAPITAL_PERCENT * F.col("doc.points"))
+        + _bit("D", F.col("doc.symbols") > 0)
     )
     rows = staged(
         spark, totals.select("doc.doc_id", "doc.part", F.col("doc.key.low").alias("low"), F.col("doc.key.high").alias("high"), "n_words", "n_terms", own.alias("own")), "flags"

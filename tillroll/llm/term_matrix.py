@@ -1,15 +1,17 @@
 """A sparse document-term matrix in CSR shards, over one dictionary of all words.
 
-A shard is a stretch of documents of one task: `docs` (one struct per matrix row), `starts` (where
-each row begins, and where the last one ends), `terms` (column numbers) and `counts`. Words are
-encoded in two steps. Each task numbers the words of a shard by itself; then only the distinct
-words of each shard, not the text's words, are shuffled to get their numbers in the global
-dictionary, which is dense and sorted by word.
-
-Scale: a word that every document holds is shuffled once per shard, so common words weigh no more
-than others. The dictionary is a table like any other: nothing of it is broadcast or collected.
-A shard closes at SHARD_BYTES of text or SHARD_DOCS documents, so a task's memory follows
-that or the longest text. Local and final shards are stored in the shared folder, each once.
+A shard is a stretch of documents of one task: `docs` (one struct per matrix row), `starts` (where each
+row begins, and where the last one ends), `terms` (column numbers) and `counts`, all three as packed
+numbers that `unpacked` reads. Words are encoded in two steps. Each task numbers
+its distinct words in order of appearance; then only those, not the text's words, are ranked in
+hash buckets. A word's number in the global dictionary is its rank times the number of buckets plus
+its bucket: unique, and without gaps but for those between the least and the fullest bucket.
+
+Scale: a word that every document holds is shuffled once per task, so common words weigh no more
+than others. The dictionary is a table like any other: nothing of it is broadcast or collected. A
+shard closes at SHARD_BYTES of text or SHARD_DOCS documents; a task holds one shard and its own
+distinct words, which follow the size of an input split or the longest text. Shards are stored in
+the shared folder before and after their words get their numbers.
 
 Defined cases: words are the maximal runs without the six ASCII separators, compared byte by byte.
 NULL and empty texts are rows without entries. Equal rows are rows of their own. Kept columns are
@@ -19,113 +21,198 @@ carried by place, so their names can't clash. An empty table has no shards and n
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import ship, staged
-from tillroll.llm.places import numbered
+from tillroll.llm.common import ship
+from tillroll.session import scratch_path
 
 ship(__name__)
 
 SHARD_BYTES = 4 << 20
 SHARD_DOCS = 4096
 SLICE = 256
-INTS = T.ArrayType(T.IntegerType(), False)
+BUCKETS_PER_PARTITION = 8
+PARTS = ["starts", "slots", "counts"]
+
+Measure = Callable[[bytes], int]
+
+
+class _Slots(dict):
+    """Numbers for words, in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers as zstd over their differences, first the lowest bytes of all, then the next."""
+    steps = np.diff(numbers.astype(np.int64), prepend=np.int64(0))
+    planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.cumsum(np.frombuffer(planes, np.uint8).reshape(8, n).T.copy().view(np.int64).ravel())
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.int64), *parts])
 
 
 class _Shard:
-    """The rows of one open shard, their words numbered in order of appearance."""
+    """The rows of one open shard. `slots`, the numbers of the task's words, goes on from shard to shard."""
 
-    def __init__(self) -> None:
-        self.slots: dict[bytes, int] = {}
+    def __init__(self, slots: _Slots) -> None:
+        self.slots, self.known = slots, len(slots)
         self.docs: list[pa.StructArray] = []
         self.starts, self.terms, self.counts = [0], [], []
         self.size = 0
 
-    def add(self, text: bytes | None) -> None:
+    def add(self, text: bytes) -> None:
         # bytes.split() parts at exactly the six ASCII separators.
-        found = Counter((text or b"").split())
-        slots = self.slots
-        self.terms += [slots.setdefault(word, len(slots)) for word in found]
-        self.counts += found.values()
-        self.starts.append(len(self.terms))
-        self.size += len(text or b"")
+        found = Counter(text.split())
+        slots = np.fromiter(map(self.slots.__getitem__, found), np.int64, len(found))
+        order = np.argsort(slots)
+        self.terms.append(slots[order])
+        self.counts.append(np.fromiter(found.values(), np.int64, len(found))[order])
+        self.starts.append(self.starts[-1] + len(found))
+        self.size += len(text)
 
     def full(self) -> bool:
         return self.size >= SHARD_BYTES or len(self.starts) > SHARD_DOCS
 
-    def row(self, name: str) -> pa.RecordBatch:
+    def row(self, task: int, fields: T.StructType) -> pa.RecordBatch:
         docs = pa.concat_arrays(self.docs)
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)]
-        lists += [pa.array([part], pa.list_(pa.int32())) for part in (self.starts, self.terms, self.counts)]
-        lists.append(pa.array([list(self.slots)], pa.list_(pa.binary())))
-        return pa.RecordBatch.from_arrays([pa.array([name]), *lists], names=["shard", "docs", "starts", "slots", "counts", "words"])
-
-
-def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task, number, shard = TaskContext.get().partitionId(), 0, _Shard()
+        fresh = list(self.slots)[self.known :]
+        made = [pa.array([task], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)]
+        parts = (np.array(self.starts), _joined(self.terms), _joined(self.counts))
+        made += [pa.array([packed(part)], pa.binary()) for part in parts]
+        made += [pa.array([self.known], pa.int32()), pa.array([fresh], pa.list_(pa.binary()))]
+        return pa.RecordBatch.from_arrays(made, names=fields.names)
+
+
+def _sharder(fields: T.StructType, measures: list[Measure]):
+    names = fields["docs"].dataType.elementType.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        shard = _Shard(_Slots())
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                *kept, given = batch.slice(start, SLICE).columns
+                texts = [text or b"" for text in given.to_pylist()]
+                kept += [pa.array([measure(text) for text in texts], pa.int64()) for measure in measures]
+                docs = pa.StructArray.from_arrays(kept, names=names)
+                taken = 0
+                for i, text in enumerate(texts):
+                    shard.add(text)
+                    if shard.full():
+                        shard.docs.append(docs.slice(taken, i + 1 - taken))
+                        yield shard.row(task, fields)
+                        taken, shard = i + 1, _Shard(shard.slots)
+                if taken < len(docs):
+                    shard.docs.append(docs.slice(taken))
+        if shard.docs:
+            yield shard.row(task, fields)
+
+    return run
+
+
+def _scattered(numbers: pa.Table) -> pa.Table:
+    """One task's numbers of its words, packed in the order of their slots."""
+    terms = np.empty(numbers.num_rows, np.int64)
+    terms[numbers["slot"].to_numpy()] = numbers["term"].to_numpy()
+    return pa.table({"task": numbers["task"].slice(0, 1), "numbers": pa.array([terms.tobytes()], pa.binary())})
+
+
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slots become column numbers."""
     for batch in batches:
-        for start in range(0, batch.num_rows, SLICE):
-            *kept, texts = batch.slice(start, SLICE).columns
-            docs = pa.StructArray.from_arrays(kept, names=batch.schema.names[:-1])
-            taken = 0
-            for i, text in enumerate(texts):
-                shard.add(text.as_py())
-                if shard.full():
-                    shard.docs.append(docs.slice(taken, i + 1 - taken))
-                    yield shard.row(f"{task}-{number}")
-                    taken, number, shard = i + 1, number + 1, _Shard()
-            if taken < len(docs):
-                shard.docs.append(docs.slice(taken))
-    if shard.docs:
-        yield shard.row(f"{task}-{number}")
-
-
-def build(spark: SparkSession, docs: DataFrame, text: str = "text", keep: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The shards (shard, docs, starts, terms, counts), and the dictionary (term, word as bytes).
-
-    `keep` names the expressions that each matrix row carries in its struct; by default all columns.
+        docs, starts, slots, counts, numbers = batch.columns
+        terms = []
+        for own, known in zip(slots, numbers):
+            # A task without a word has no numbers, and its shards no slots.
+            table = np.frombuffer(known.as_py() or b"", np.int64)
+            terms.append(packed(table[unpacked(own.as_py())]))
+        made = [docs, starts, pa.array(terms, pa.binary()), counts]
+        yield pa.RecordBatch.from_arrays(made, names=["docs", "starts", "terms", "counts"])
+
+
+def _stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
+    """As `staged`, but packed tighter: long lists of small numbers."""
+    path = scratch_path(spark, label)
+    frame.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def _numbered(spark: SparkSession, words: DataFrame) -> DataFrame:
+    """(task, slot, word, term) of every task's words."""
+    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word")).cast("long") - 1
+    bucketed = words.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+    return bucketed.select("task", "slot", "word", (rank * buckets + F.col("bucket")).alias("term"))
+
+
+def build(
+    spark: SparkSession,
+    docs: DataFrame,
+    text: str = "text",
+    keep: dict[str, Column] | None = None,
+    measures: dict[str, Measure] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The shards (docs, starts, terms, counts), and the dictionary (term, word as bytes).
+
+    Each matrix row carries in its struct the expressions in `keep`, by default all columns, and
+    whole numbers that `measures` take of the text's bytes.
     """
     keep = {name: F.col(f"`{name}`") for name in docs.columns} if keep is None else keep
+    measures = measures or {}
     columns = [column.alias(f"kept_{i}") for i, column in enumerate(keep.values())]
-    named = docs.select(*columns)
-    row = T.StructType([T.StructField(f.name, f.dataType) for f in named.schema])
-    fields = T.StructType().add("shard", "string").add("docs", T.ArrayType(row))
-    for name in ("starts", "slots", "counts"):
-        fields = fields.add(name, INTS)
-    fields = fields.add("words", T.ArrayType(T.BinaryType()))
+    row = T.StructType([T.StructField(f.name, f.dataType) for f in docs.select(*columns).schema])
+    for i in range(len(measures)):
+        row = row.add(f"measure_{i}", "long")
+    fields = T.StructType().add("task", "integer").add("docs", T.ArrayType(row))
+    for name in PARTS:
+        fields = fields.add(name, "binary")
+    fields = fields.add("known", "integer").add("words", T.ArrayType(T.BinaryType()))
     given = docs.select(*columns, F.col(f"`{text}`").cast("binary").alias("given"))
-    local = staged(spark, given.mapInArrow(_local, fields), "local-shards")
-
-    words = local.select("shard", F.posexplode("words").alias("slot", "word"))
-    dictionary = numbered(spark, words.select("word").distinct(), ["word"], "term")
-    numbers = (
-        words.join(dictionary, "word")
-        .groupBy("shard")
-        .agg(F.sort_array(F.collect_list(F.struct("slot", "term"))).alias("pairs"))
-        .select("shard", F.transform("pairs", lambda pair: pair["term"]).alias("numbers"))
-    )
-    renamed = F.transform("docs", lambda doc: F.struct(*(doc[f"kept_{i}"].alias(name) for i, name in enumerate(keep))))
-    encoded = local.drop("words").join(numbers, "shard", "left").select(
-        "shard", renamed.alias("docs"), "starts", F.transform("slots", lambda slot: F.col("numbers")[slot]).alias("terms"), "counts"
-    )
-    return staged(spark, encoded, "shards"), dictionary.select("term", "word")
+    local = _stored(spark, given.mapInArrow(_sharder(fields, list(measures.values())), fields), "local-shards")
+
+    words = local.select("task", "known", F.posexplode("words").alias("at", "word"))
+    encoding = _numbered(spark, words.select("task", (F.col("known") + F.col("at")).alias("slot"), "word"))
+    numbers = encoding.select("task", "slot", "term").groupBy("task").applyInArrow(_scattered, "task int, numbers binary")
+    names = dict(zip(row.names, [*keep, *measures]))
+    renamed = F.transform("docs", lambda doc: F.struct(*(doc[place].alias(name) for place, name in names.items())))
+    joined = local.join(numbers, "task", "left").select(renamed.alias("docs"), *PARTS, "numbers")
+    shape = T.StructType([joined.schema["docs"]])
+    for name in ("starts", "terms", "counts"):
+        shape = shape.add(name, "binary")
+    shards = _stored(spark, joined.mapInArrow(_encode, shape), "shards")
+    return shards, encoding.select("term", "word").distinct()
 
 
 def row_totals(shards: DataFrame) -> DataFrame:
     """Per matrix row its struct `doc`, `n_words` (the row's sum) and `n_terms` (its nonzero entries)."""
-
-    def total(i: Column) -> Column:
-        start, end = F.col("starts")[i], F.col("starts")[i + 1]
-        counts = F.slice("counts", start + 1, end - start)
-        n_words = F.aggregate(counts, F.lit(0).cast("long"), lambda sum_, n: sum_ + n)
-        return F.struct(F.col("docs")[i].alias("doc"), n_words.alias("n_words"), (end - start).cast("long").alias("n_terms"))
-
-    # Within the shard's own row first: exploding would copy the shard once per document.
-    rows = F.transform(F.sequence(F.lit(0), F.size("docs") - 1), total)
-    return shards.select(F.explode(rows).alias("row")).select("row.*")
+    row = shards.schema["docs"].dataType.elementType
+    shape = T.StructType().add("doc", row).add("n_words", "long").add("n_terms", "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for docs, *parts in zip(*batch.columns):
+                starts, terms, counts = (unpacked(part.as_py()) for part in parts)
+                # The sums and the numbers of nonzero entries up to each place.
+                totals = (np.cumsum(np.concatenate([[0], each])) for each in (counts, terms >= 0))
+                made = [docs.values, *(pa.array(np.diff(total[starts]), pa.int64()) for total in totals)]
+                yield pa.RecordBatch.from_arrays(made, names=shape.names)
+
+    return shards.select("docs", "starts", "terms", "counts").mapInArrow(run, shape)
