@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import time
+
 from tillroll.plans.run import Layers, ingest, run_files
 from tillroll.sources.bronze_files import read_bronze
 from tillroll.streaming.landing_stream import start
@@ -57,3 +60,22 @@ def test_names_with_glob_characters_name_one_file(spark, tmp_path):
     rows = read_bronze(spark, layers.bronze).select("_source_file", "row_id").collect()
     assert len(rows) == 5 and len({tuple(row) for row in rows}) == 5
     assert sorted(row.row_id for row in spark.table(layers.silver.name).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_a_file_with_an_old_time_stamp_is_handed_on(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    seen = []
+
+    def run():
+        start(spark, str(folder), str(tmp_path / "checkpoint"), "b",
+              lambda files: seen.extend(file.key for file in files)).awaitTermination()
+
+    (folder / "first.csv").write_text(HEADER)
+    run()
+    (folder / "old.csv").write_text(HEADER)
+    (folder / "new.csv").write_text(HEADER)
+    long_ago = time.time() - 400 * 86_400
+    os.utime(folder / "old.csv", (long_ago, long_ago))
+    run()
+    assert sorted(seen) == ["landing/first.csv", "landing/new.csv", "landing/old.csv"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timezone
 from uuid import uuid4
 
@@ -27,12 +27,12 @@ from tillroll.plans.bronze import bronze_rows
 from tillroll.plans.customers import customers
 from tillroll.plans.sales import sales
 from tillroll.plans.silver import keyed_rows, keyless_rows
-from tillroll.sinks.catalog import LayerTable, create_database, property_of, set_property
+from tillroll.sinks import day_index
+from tillroll.sinks.catalog import LayerTable, create_database, in_partitions, property_of, set_property
 from tillroll.sinks.merge import Match, apply_match, match, merge_into
 from tillroll.sinks.slices import SliceTable, drop_slices, read_slices, slice_ids, write_slices
-from tillroll.sinks.staging import stage
 from tillroll.sources.bronze_files import ingest_id
-from tillroll.sources.landing import scan_csv
+from tillroll.sources.landing import LANDING_ID, LANDING_KEY, scan_files
 
 # The customer table's property that holds the anchor day of its counts.
 ANCHOR = "anchor"
@@ -65,7 +65,8 @@ class Layers:
 
     @property
     def silver(self) -> LayerTable:
-        return self._table("silver_orders", "silver/orders", SILVER, SILVER_KEY, DAY_COLUMNS)
+        table = self._table("silver_orders", "silver/orders", SILVER, SILVER_KEY, DAY_COLUMNS)
+        return replace(table, indexed=(SALES_KEY, CUSTOMER_KEY))
 
     @property
     def sales(self) -> LayerTable:
@@ -115,9 +116,10 @@ def ingest(
     """Landing files into the raw layer, each by its own header; rows per file's id."""
     create_database(spark, layers.database)
     ingested_at = ingested_at or datetime.now(timezone.utc).isoformat()
+    named = [(file.uri, file.key, file.id) for file in {file.id: file for file in files}.values()]
     scans = [
-        bronze_rows(scan_csv(spark, file.uri), file.key, ingested_at).withColumn(INGEST_ID, F.lit(file.id))
-        for file in {file.id: file for file in files}.values()
+        bronze_rows(rows, F.col(LANDING_KEY), ingested_at).withColumnRenamed(LANDING_ID, INGEST_ID).drop(LANDING_KEY)
+        for rows in scan_files(spark, named)
     ]
     return write_slices(spark, layers.bronze, append_by_name(*scans), list({file.id: None for file in files}))
 
@@ -224,6 +226,22 @@ def _record_pending(spark: SparkSession, layers: Layers, found: Match) -> None:
         write_slices(spark, layers.pending(key), keys.withColumn(INGEST_ID, F.lit(run)), [run])
 
 
+def touched_rows(spark: SparkSession, layers: Layers, key: str, pending: list[str]) -> DataFrame:
+    """The silver rows of the pending keys. Only days that the index names for them are read.
+
+    The first run that needs the index makes it from all of silver; from then on merges keep it. Rows
+    are dealt by the key that they are then aggregated by, if at all: a small set of keys is broadcast.
+    """
+    keys = read_slices(spark, layers.pending(key), pending).select(key).distinct()
+    silver, index = spark.table(layers.silver.name), day_index.index_of(layers.silver, key)
+    if not day_index.exists(spark, index):
+        day_index.build(spark, index, silver)
+    days = day_index.days_of(spark, index, keys)
+    if not days:
+        return silver.limit(0)
+    return silver.filter(in_partitions(layers.silver, days)).join(keys, key, "left_semi")
+
+
 def _settle_gold(spark: SparkSession, layers: Layers) -> tuple[int, int]:
     """Recompute the gold rows of all pending keys, also those that a lost run left behind.
 
@@ -239,15 +257,7 @@ def _settle_gold(spark: SparkSession, layers: Layers) -> tuple[int, int]:
     whole = {key for key, every in ((SALES_KEY, all_sales), (CUSTOMER_KEY, all_customers)) if every}
     partial = [key for key in (SALES_KEY, CUSTOMER_KEY) if key not in whole and pending[key]]
     rows = {key: silver for key in whole}
-    if partial:
-        touched = silver
-        for key in partial:
-            keys = read_slices(spark, layers.pending(key), pending[key]).select(key).distinct()
-            touched = touched.join(keys.withColumn(f"_touched_{key}", F.lit(True)), key, "left")
-        held = F.coalesce(*(F.col(f"_touched_{key}") for key in partial))
-        # One scan of silver finds the rows of both kinds of key.
-        touched, _ = stage(spark, touched.filter(held), "touched")
-        rows |= {key: touched.filter(F.col(f"_touched_{key}")) for key in partial}
+    rows |= {key: touched_rows(spark, layers, key, pending[key]) for key in partial}
     counts = {SALES_KEY: 0, CUSTOMER_KEY: 0}
     if SALES_KEY in rows:
         counts[SALES_KEY] = merge_into(spark, layers.sales, sales(_keyed(rows[SALES_KEY], SALES_KEY)))

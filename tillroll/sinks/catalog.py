@@ -21,7 +21,8 @@ CALLS_AT_ONCE = 16
 class LayerTable:
     """A published table. `path` holds one folder per version, and the catalog says which counts.
 
-    With `manifest`, every write keeps the file lists for external readers in step.
+    With `manifest`, every write keeps the file lists for external readers in step. For each column in
+    `indexed`, every merge keeps the index of the days that its values lie in, once there is one.
     """
 
     name: str
@@ -30,6 +31,7 @@ class LayerTable:
     key: str
     partition_by: tuple[str, ...] = ()
     manifest: bool = False
+    indexed: tuple[str, ...] = ()
 
 
 def create_database(spark: SparkSession, database: str) -> None:
@@ -75,6 +77,14 @@ def point_partitions(
     spark.catalog.refreshTable(table.name)
 
 
+def add_partitions(spark: SparkSession, table: LayerTable, partitions: dict[Partition, str]) -> None:
+    """Let the table read new partitions, in one catalog call."""
+    if partitions:
+        specs = " ".join(f"PARTITION ({_spec(table, values)}) LOCATION '{folder}'" for values, folder in partitions.items())
+        spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {specs}")
+        spark.catalog.refreshTable(table.name)
+
+
 def drop_partitions(spark: SparkSession, table: LayerTable, partitions: list[Partition]) -> None:
     """Forget partitions, in one catalog call; their files stay."""
     specs = ", ".join(f"PARTITION ({_spec(table, values)})" for values in partitions)

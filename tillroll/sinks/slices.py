@@ -7,6 +7,7 @@ table as slices bring them; older slices read as NULL there, without looking int
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.layers import INGEST_ID
+from tillroll.sinks.catalog import CALLS_AT_ONCE
 
 
 @dataclass(frozen=True)
@@ -24,17 +26,17 @@ class SliceTable:
 
 
 def write_slices(
-    spark: SparkSession, table: SliceTable, rows: DataFrame, ids: list[str]
+    spark: SparkSession, table: SliceTable, rows: DataFrame, ids: list[str], keep: frozenset[str] = frozenset()
 ) -> dict[str, int]:
     """Replace the slices `ids` by the rows, which hold their id in `ingest_id`; rows per slice.
 
-    A slice without rows loses its partition.
+    A slice without rows loses its partition, unless it is in `keep`: then it stays as an empty one.
     """
     version = f"{table.path}/v-{uuid4().hex}"
     seen = Observation()
     observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     observed.write.partitionBy(INGEST_ID).parquet(version)
-    _add_columns(spark, table, rows.drop(INGEST_ID).schema)
+    add_columns(spark, table, rows.drop(INGEST_ID).schema)
     if len(ids) == 1:
         counts = {ids[0]: seen.get["rows"]}
     else:
@@ -42,11 +44,13 @@ def write_slices(
         fields = [*rows.drop(INGEST_ID).schema, T.StructField(INGEST_ID, T.StringType())]
         written = spark.read.schema(T.StructType(fields)).parquet(version)
         counts = dict(written.groupBy(INGEST_ID).agg(F.count(F.lit(1))).collect())
-    for one in ids:
-        if counts.get(one):
-            _point(spark, table, one, f"{version}/{INGEST_ID}={one}")
-        else:
-            drop_slices(spark, table, [one])
+    filled = [one for one in ids if counts.get(one)]
+    empty = [one for one in ids if not counts.get(one)]
+    kept = [one for one in empty if one in keep]
+    for one in kept:
+        spark.createDataFrame([], rows.drop(INGEST_ID).schema).write.parquet(f"{version}/{INGEST_ID}={one}")
+    _point(spark, table, {one: f"{version}/{INGEST_ID}={one}" for one in [*filled, *kept]})
+    drop_slices(spark, table, [one for one in empty if one not in keep])
     spark.catalog.refreshTable(table.name)
     return {one: counts.get(one, 0) for one in ids}
 
@@ -69,7 +73,7 @@ def drop_slices(spark: SparkSession, table: SliceTable, ids: list[str]) -> None:
         spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS {specs}")
 
 
-def _add_columns(spark: SparkSession, table: SliceTable, schema: T.StructType) -> None:
+def add_columns(spark: SparkSession, table: SliceTable, schema: T.StructType) -> None:
     if not spark.catalog.tableExists(table.name):
         columns = [*schema, T.StructField(INGEST_ID, T.StringType())]
         spark.sql(
@@ -86,7 +90,16 @@ def _columns(fields: list[T.StructField]) -> str:
     return ", ".join(f"`{field.name.replace('`', '``')}` {field.dataType.simpleString()}" for field in fields)
 
 
-def _point(spark: SparkSession, table: SliceTable, one: str, folder: str) -> None:
-    spec = f"PARTITION ({INGEST_ID}='{one}')"
-    spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
-    spark.sql(f"ALTER TABLE {table.name} {spec} SET LOCATION '{folder}'")
+def _point(spark: SparkSession, table: SliceTable, folders: dict[str, str]) -> None:
+    """Let each slice read its folder: new ones in one catalog call, others by one call each, several at once."""
+    known = set(slice_ids(spark, table)) if folders else set()
+    specs = {one: f"PARTITION ({INGEST_ID}='{one}')" for one in folders}
+    new = " ".join(f"{specs[one]} LOCATION '{folder}'" for one, folder in folders.items() if one not in known)
+    if new:
+        spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {new}")
+
+    def move(one: str) -> None:
+        spark.sql(f"ALTER TABLE {table.name} {specs[one]} SET LOCATION '{folders[one]}'")
+
+    with ThreadPoolExecutor(CALLS_AT_ONCE) as calls:
+        list(calls.map(move, [one for one in folders if one in known]))

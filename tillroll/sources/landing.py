@@ -3,13 +3,22 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.layers import REQUIRED_COLUMNS, RESERVED_COLUMNS
 
+# Columns that a scan of several files adds; the space keeps them apart from any folded header.
+LANDING_KEY = "landing key"
+LANDING_ID = "landing id"
+_PATH = "landing path"
+
+LISTINGS_AT_ONCE = 16
+
 
 def folded(header: str) -> str:
     return header.strip().lower().replace(" ", "_")
@@ -54,9 +63,69 @@ def scan_csv(
     if escape is not None:
         reader = reader.option("escape", escape)
     path = literal_path(uri)
-    headers = reader.option("header", False).csv(path).take(1)
-    names = folded_names(list(headers[0])) if headers else []
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    names = _header_names(reader, [path])
     if not names:
-        return spark.createDataFrame([], schema)
-    return reader.schema(schema).option("header", True).csv(path)
+        return spark.createDataFrame([], T.StructType([]))
+    return reader.schema(_text_columns(names)).option("header", True).csv(path)
+
+
+def _header_names(reader, paths: list[str]) -> list[str]:
+    headers = reader.option("header", False).csv(paths).take(1)
+    return folded_names(list(headers[0])) if headers else []
+
+
+def _text_columns(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+def same_path(path: str) -> str:
+    """A local path may come with one slash or three."""
+    return re.sub("^file:/+", "file:/", path)
+
+
+def listed_files(spark: SparkSession, uris: list[str]) -> dict[str, list[str]]:
+    """The files behind each URI, which names one file or a folder of its parts. Runs no Spark job."""
+    with ThreadPoolExecutor(LISTINGS_AT_ONCE) as calls:
+        listed = calls.map(lambda uri: spark.read.text(literal_path(uri)).inputFiles(), uris)
+        return {uri: sorted(map(same_path, paths)) for uri, paths in zip(uris, listed)}
+
+
+def header_lines(spark: SparkSession, uris: list[str]) -> dict[str, str]:
+    """The first line with text of each file, by its path: one scan of all, whatever their number."""
+    meta = F.col("_metadata")
+    lines = spark.read.text([literal_path(uri) for uri in uris]).select(
+        "value",
+        meta["file_path"].alias("path"),
+        meta["file_block_start"].alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = lines.filter((F.col("start") == 0) & (F.trim("value") != "")).groupBy("path")
+    return {same_path(path): line for path, line in first.agg(F.min_by("value", "place")).collect()}
+
+
+def scan_files(spark: SparkSession, files: list[tuple[str, str, str]]) -> list[DataFrame]:
+    """Landing files given as (uri, key, id): one scan per distinct header, each row with its file's key and id.
+
+    The files of a batch come to the driver by name, with their header lines; rows never do. A
+    file without a header line yields a frame without columns.
+    """
+    uris = list(dict.fromkeys(uri for uri, _, _ in files))
+    paths = listed_files(spark, uris)
+    lines = header_lines(spark, uris) if uris else {}
+    alike = defaultdict(list)
+    for uri in uris:
+        alike[next((lines[path] for path in paths[uri] if path in lines), None)].append(uri)
+    owners = [(path, key, one) for uri, key, one in files for path in paths[uri]]
+    owner = spark.createDataFrame(owners, T.StructType([T.StructField(name, T.StringType()) for name in (_PATH, LANDING_KEY, LANDING_ID)]))
+    scans = []
+    for line, group in alike.items():
+        globs = [literal_path(uri) for uri in group]
+        names = [] if line is None else _header_names(spark.read, globs[:1])
+        if not names:
+            scans.append(spark.createDataFrame([], T.StructType([])))
+            continue
+        rows = spark.read.schema(_text_columns(names)).option("header", True).csv(globs)
+        path = F.regexp_replace(rows.metadataColumn("_metadata")["file_path"], "^file:/+", "file:/")
+        # One row per file of the batch, which the driver holds anyway.
+        scans.append(rows.withColumn(_PATH, path).join(F.broadcast(owner), _PATH).drop(_PATH))
+    return scans

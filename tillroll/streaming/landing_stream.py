@@ -25,6 +25,10 @@ LISTING = "path string, modificationTime timestamp, length bigint, content binar
 # The driver plans one scan per file of a batch; more files than this come in further batches.
 FILES_PER_BATCH = 200
 
+# A file counts however old its time stamp is. The price: the source keeps the names of all files it
+# has seen in the driver's memory, where by default it forgets those older than a week.
+ANY_AGE = "36500d"
+
 
 def new_files(spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """(uri, key, landed) of each CSV below the folder; file contents are not read."""
@@ -34,6 +38,7 @@ def new_files(spark: SparkSession, folder: str, files_per_batch: int = FILES_PER
         .option("pathGlobFilter", CSV_GLOB)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", ANY_AGE)
         .load(folder)
     )
     relative = F.substring_index("path", folder.rstrip("/") + "/", -1)
