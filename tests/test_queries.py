@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -48,3 +50,14 @@ def test_query_equals_oracle(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 150
+
+
+def test_the_library_stands_without_what_the_training_data_queries_need():
+    """A module that is missing takes those queries away, and no others."""
+    code = (
+        "import sys; sys.modules['tiktoken'] = None\n"
+        "import __spark_entry__ as c\n"
+        "from tillroll.workload import registry\n"
+        "assert c.queries().keys() == registry.queries().keys() == c.oracle_sql().keys()\n"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(contract.__file__).parent)

@@ -1,0 +1,160 @@
+"""The raw layer in day partitions, and files that are read by header."""
+
+from __future__ import annotations
+
+import pytest
+
+from conftest import rows_of
+from test_run import HEADER, Landing, line
+from tillroll.plans.run import LandingFile, ingest, settle_bronze
+from tillroll.sinks.day_store import store_of
+from tillroll.sinks.slices import slice_ids
+from tillroll.sources.bronze_files import read_bronze, read_slice
+from tillroll.sources.landing import scan_files
+
+
+@pytest.fixture
+def landing(spark, tmp_path, request):
+    return Landing(spark, tmp_path, "t_" + "".join(c if c.isalnum() else "_" for c in request.node.name).lower())
+
+
+class Raw:
+    """Files brought into the raw layer alone."""
+
+    def __init__(self, landing):
+        self.spark, self.layers, self.folder = landing.spark, landing.layers, landing.folder
+
+    def bring(self, name, *lines, header=HEADER):
+        (self.folder / name).write_text("\n".join([header, *lines]) + "\n")
+        return ingest(self.spark, self.layers, [LandingFile(str(self.folder / name), "bucket", f"landing/{name}")], "now")
+
+    def rows(self, *columns):
+        return rows_of(read_bronze(self.spark, self.layers.bronze).select(*columns or ["*"]))
+
+    def partitions(self):
+        return self.spark.sql(f"SHOW PARTITIONS {store_of(self.spark, self.layers.bronze).name}").count()
+
+
+@pytest.fixture
+def raw(landing):
+    return Raw(landing)
+
+
+def test_partitions_grow_with_days_and_not_with_files(raw, spark):
+    for i in range(4):
+        raw.bring(f"{i}.csv", line(i, f"O{i}", "12/1/2018"), line(10 + i, f"O{i}", "12/2/2018"), line(20 + i, f"O{i}", "bad"))
+    before = raw.rows("row_id", "city", "_source_file", "year", "day")
+    assert settle_bronze(spark, raw.layers) == 3
+    assert raw.partitions() == 3 and slice_ids(spark, raw.layers.bronze) == []
+    assert raw.rows("row_id", "city", "_source_file", "year", "day") == before
+    assert rows_of(read_slice(spark, raw.layers.bronze, "bucket", "landing/2.csv").select("row_id")) == [("12",), ("2",), ("22",)]
+    day = read_bronze(spark, raw.layers.bronze).filter("year = 2018 and day = 2")
+    assert all("/day=2/" in path for path in day.inputFiles()) and day.count() == 4
+
+
+def test_a_settled_file_that_comes_again_replaces_its_rows(raw, spark):
+    raw.bring("a.csv", line(1, "O1", "12/1/2018"), line(2, "O2", "12/2/2018"))
+    raw.bring("b.csv", line(3, "O3", "12/1/2018"))
+    settle_bronze(spark, raw.layers)
+    raw.bring("a.csv", line(1, "O1", "12/5/2018") + ",9.5", header=HEADER + ",Profit")
+    assert raw.rows("row_id", "profit", "day") == [("1", "9.5", 5), ("3", None, 1)]
+    settle_bronze(spark, raw.layers)
+    assert raw.rows("row_id", "profit", "day") == [("1", "9.5", 5), ("3", None, 1)]
+    # The day that only the old rows had is gone.
+    assert raw.partitions() == 2
+    raw.bring("b.csv")
+    assert raw.rows("row_id") == [("1",)]
+    settle_bronze(spark, raw.layers)
+    assert raw.rows("row_id") == [("1",)] and raw.partitions() == 1
+
+
+@pytest.mark.parametrize("step", ["write_counted", "add_partitions", "point_partitions", "drop_partitions", "drop_slices"])
+def test_a_move_lost_at_any_step_shows_every_row_once(raw, spark, monkeypatch, step):
+    raw.bring("a.csv", line(1, "O1", "12/1/2018"), line(2, "O2", "12/2/2018"))
+    raw.bring("b.csv", line(3, "O3", "12/1/2018"))
+    settle_bronze(spark, raw.layers)
+    raw.bring("a.csv", line(1, "O1", "12/1/2018", city="Oslo"), line(4, "O4", "12/4/2018"))
+    raw.bring("c.csv", line(5, "O5", "12/1/2018"))
+    before = raw.rows()
+
+    def lost(*_, **__):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(f"tillroll.sinks.day_store.{step}", lost)
+        with pytest.raises(RuntimeError):
+            settle_bronze(spark, raw.layers)
+    assert raw.rows() == before and len(before) == 4
+    settle_bronze(spark, raw.layers)
+    assert raw.rows() == before
+    assert slice_ids(spark, raw.layers.bronze) == []
+
+
+def test_runs_settle_by_themselves_but_never_files_of_lost_runs(landing, spark, monkeypatch):
+    landing.layers = type(landing.layers)(landing.layers.root, landing.layers.database, settle_at=2)
+    landing.run("a.csv", line(1, "O1", "12/1/2018"))
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tillroll.plans.run.match", lost)
+        with pytest.raises(RuntimeError):
+            landing.run("b.csv", line(2, "O2", "12/2/2018"))
+    settle_bronze(spark, landing.layers)
+    assert len(slice_ids(spark, landing.layers.bronze)) == 1
+    landing.run("c.csv", line(3, "O3", "12/3/2018"))
+    assert slice_ids(spark, landing.layers.bronze) == []
+    landing.run("a.csv", line(1, "O1", "12/1/2018", city="Oslo"))
+    assert landing.silver("row_id", "city") == [(1, "Oslo"), (2, "Rome"), (3, "Rome")]
+    landing.check_gold()
+
+
+def jobs_of(raw, names):
+    tracker, group = raw.spark.sparkContext.statusTracker(), f"ingest-{len(names)}"
+    files = []
+    for i, name in enumerate(names):
+        header = HEADER if i % 2 else ",".join(reversed(HEADER.split(",")))
+        text = line(i, f"O{i}", "12/1/2018")
+        (raw.folder / name).write_text(f"{header}\n{text if i % 2 else ','.join(reversed(text.split(',')))}\n")
+        files.append(LandingFile(str(raw.folder / name), "bucket", f"landing/{name}"))
+    raw.spark.sparkContext.setJobGroup(group, "ingest")
+    ingest(raw.spark, raw.layers, files, "now")
+    raw.spark.sparkContext.setJobGroup("", "")
+    return len(tracker.getJobIdsForGroup(group))
+
+
+def test_jobs_do_not_grow_with_the_files_of_a_batch(raw):
+    jobs_of(raw, ["first.csv", "second.csv"])
+    few, many = jobs_of(raw, [f"few {i}.csv" for i in range(5)]), jobs_of(raw, [f"many+{i}.csv" for i in range(30)])
+    # Above 32 paths Spark lists files by a job of its own, per scan and not per file.
+    more = jobs_of(raw, [f"more{i}%.csv" for i in range(50)])
+    assert few == many and more <= many + 6
+    assert sorted(int(row_id) for row_id, in raw.rows("row_id")) == sorted([0, 1, *range(5), *range(30), *range(50)])
+    assert all(order == f"O{row_id}" for row_id, order in raw.rows("row_id", "order_id"))
+
+
+def test_files_of_one_batch_by_header(spark, tmp_path):
+    texts = {
+        "a.csv": "A,B\n1,2\n", "b.csv": "B,A\r\n3,4\r\n", "c.csv": "A,B\n5,6\n", "blank.csv": "\n  \nA,B\n7,8\n",
+        "quoted.csv": '"A","B"\n"9,9",10\n', "only.csv": "A,B", "empty.csv": "", "meta.csv": "_metadata,Landing Key\n11,12\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "parts").mkdir()
+    for part in ("x.csv", "y.csv"):
+        (tmp_path / "parts" / part).write_text(f"A,B\n{part},0\n")
+    files = [(str(tmp_path / name), f"key {name}", f"id-{name}") for name in [*texts, "parts"]]
+    files.append((str(tmp_path / "a.csv"), "again", "id-again"))
+    found = {}
+    for frame in scan_files(spark, files):
+        for row in frame.collect():
+            found.setdefault(row["landing id"], []).append({name: row[name] for name in frame.columns if name != "landing id"})
+    assert sorted(found) == sorted(f"id-{name}" for name in ["a.csv", "b.csv", "c.csv", "blank.csv", "quoted.csv", "meta.csv", "parts", "again"])
+    assert found["id-a.csv"] == [{"a": "1", "b": "2", "landing key": "key a.csv"}]
+    assert found["id-again"] == [{"a": "1", "b": "2", "landing key": "again"}]
+    assert found["id-b.csv"] == [{"b": "3", "a": "4", "landing key": "key b.csv"}]
+    assert {row["a"] for row in found["id-blank.csv"]} >= {"7"}
+    assert found["id-quoted.csv"][0]["a"] == "9,9"
+    assert found["id-meta.csv"] == [{"_metadata": "11", "landing_key": "12", "landing key": "key meta.csv"}]
+    assert sorted(row["a"] for row in found["id-parts"]) == ["x.csv", "y.csv"]

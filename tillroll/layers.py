@@ -53,6 +53,6 @@ GOLD_CUSTOMER = _struct(
 
 # An object-created notification; other fields are ignored. Text that is no whole JSON value
 # lands in the last field.
-_S3 = _struct(bucket=_struct(name=TEXT), object=_struct(key=TEXT))
+_S3 = _struct(bucket=_struct(name=TEXT), object=_struct(key=TEXT, sequencer=TEXT))
 DAMAGED = "_damaged"
-OBJECT_EVENT = _struct(Records=T.ArrayType(_struct(s3=_S3)), **{DAMAGED: TEXT})
+OBJECT_EVENT = _struct(Records=T.ArrayType(_struct(eventTime=TEXT, s3=_S3)), **{DAMAGED: TEXT})

@@ -27,7 +27,7 @@ from tillroll.plans.bronze import bronze_rows
 from tillroll.plans.customers import customers
 from tillroll.plans.sales import sales
 from tillroll.plans.silver import keyed_rows, keyless_rows
-from tillroll.sinks import day_index
+from tillroll.sinks import day_index, day_store
 from tillroll.sinks.catalog import LayerTable, create_database, in_partitions, property_of, set_property
 from tillroll.sinks.merge import Match, apply_match, match, merge_into
 from tillroll.sinks.slices import SliceTable, drop_slices, read_slices, slice_ids, write_slices
@@ -40,11 +40,15 @@ ANCHOR = "anchor"
 
 @dataclass(frozen=True)
 class Layers:
-    """Where the layers live, and the day that ends the trailing windows."""
+    """Where the layers live, and the day that ends the trailing windows.
+
+    Once the raw layer has `settle_at` slices, a run moves them into its day partitions.
+    """
 
     root: str
     database: str = DATABASE
     anchor: date = LATEST_DAY
+    settle_at: int = 200
 
     @property
     def bronze(self) -> SliceTable:
@@ -121,7 +125,16 @@ def ingest(
         bronze_rows(rows, F.col(LANDING_KEY), ingested_at).withColumnRenamed(LANDING_ID, INGEST_ID).drop(LANDING_KEY)
         for rows in scan_files(spark, named)
     ]
-    return write_slices(spark, layers.bronze, append_by_name(*scans), list({file.id: None for file in files}))
+    ids = [one for _, _, one in named]
+    # A file that comes again without rows must hide those that it has in the day partitions.
+    settled = frozenset(day_store.settled_ids(spark, layers.bronze, ids))
+    return write_slices(spark, layers.bronze, append_by_name(*scans), ids, keep=settled)
+
+
+def settle_bronze(spark: SparkSession, layers: Layers) -> int:
+    """Move every slice of the raw layer whose rows silver has into day partitions; returns the days written."""
+    lost = set(_unsettled(spark, layers)[1])
+    return day_store.compact(spark, layers.bronze, [one for one in slice_ids(spark, layers.bronze) if one not in lost])
 
 
 def run_files(
@@ -156,6 +169,8 @@ def run_files(
     drop_slices(spark, layers.unsettled, [*lost, run])
     if spark.catalog.tableExists(layers.silver.name):
         report.sales, report.customers = _settle_gold(spark, layers)
+    if len(slice_ids(spark, layers.bronze)) >= layers.settle_at:
+        settle_bronze(spark, layers)
     return report
 
 

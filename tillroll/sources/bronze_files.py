@@ -1,7 +1,8 @@
-"""The raw layer: one slice per landing file.
+"""The raw layer: a slice per landing file that came lately, and the settled rows by day.
 
 A slice is named after its file's bucket and key, so reading one file's rows touches its folder
-alone, and ingesting a file again replaces its rows instead of doubling them.
+alone, and ingesting a file again replaces its rows instead of doubling them. Settled slices move
+into day partitions (`sinks/day_store.py`); readers see every file once, wherever it lies.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.layers import INGEST_ID
-from tillroll.sinks.slices import SliceTable, read_slices
+from tillroll.sinks.day_store import read_rows
+from tillroll.sinks.slices import SliceTable
 
 
 def ingest_id(bucket: str, key: str) -> str:
@@ -20,9 +22,9 @@ def ingest_id(bucket: str, key: str) -> str:
 
 
 def read_slice(spark: SparkSession, bronze: SliceTable, bucket: str, key: str) -> DataFrame:
-    return read_slices(spark, bronze, [ingest_id(bucket, key)]).drop(INGEST_ID)
+    return read_rows(spark, bronze, [ingest_id(bucket, key)]).drop(INGEST_ID)
 
 
 def read_bronze(spark: SparkSession, bronze: SliceTable) -> DataFrame:
     """Every row with the columns of every file; a column that a file lacks is NULL there."""
-    return read_slices(spark, bronze).drop(INGEST_ID)
+    return read_rows(spark, bronze).drop(INGEST_ID)

@@ -32,6 +32,21 @@ def event_records(events: DataFrame, body: str = "value") -> DataFrame:
     return _records(_parsed(events, body))
 
 
+def landing_events(events: DataFrame, body: str = "value", prefix: str = LANDING_PREFIX) -> DataFrame:
+    """(bucket, key, event_time, sequencer, malformed): a row per file to ingest, and one per thing dropped as malformed."""
+    record = F.explode_outer(F.when(~F.col("damaged"), F.col("Records"))).alias("record")
+    rows = _parsed(events, body).select("damaged", record)
+    lacking = F.col("record.s3.bucket.name").isNull() | F.col("record.s3.object.key").isNull()
+    named = rows.select(
+        F.col("record.s3.bucket.name").alias("bucket"),
+        form_decoded(F.col("record.s3.object.key")).alias("key"),
+        F.col("record.eventTime").alias("event_time"),
+        F.col("record.s3.object.sequencer").alias("sequencer"),
+        (F.col("damaged") | (F.col("record").isNotNull() & lacking)).alias("malformed"),
+    )
+    return named.filter(F.col("malformed") | (F.col("bucket").isNotNull() & is_landing_key(F.col("key"), prefix)))
+
+
 def is_landing_key(key: Column, prefix: str = LANDING_PREFIX) -> Column:
     """The prefix is case-sensitive, the suffix is not."""
     return key.startswith(prefix) & F.lower(key).endswith(LANDING_SUFFIX)

@@ -147,3 +147,14 @@ def damaged_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     nameless = F.replace(F.col("value"), F.lit('"name":"b"'), F.lit('"nom":"b"'))
     damaged = F.when(F.col("number") % 7 == 0, cut).when(F.col("number") % 11 == 0, nameless).otherwise(F.col("value"))
     return bodies.select(damaged.alias("value"))
+
+
+def file_notifications(spark: SparkSession, bucket: str, key: str, sequencer: str) -> DataFrame:
+    """A file's notification, delivered twice, beside a damaged one and one of a file that is none of ours."""
+    body = (
+        '{"Records":[{"eventTime":"2001-08-02T00:00:00.000Z",'
+        '"s3":{"bucket":{"name":"%s"},"object":{"key":"%s","sequencer":"%s"}}}]}'
+    )
+    mine = body % (bucket, key.replace("/", "%2F"), sequencer)
+    other = body % (bucket, "other%2Ff.csv", sequencer)
+    return spark.createDataFrame([(mine,), (mine,), (mine[:-4],), (other,)], "value string")

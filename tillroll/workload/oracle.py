@@ -216,6 +216,7 @@ def oracles() -> dict[str, str]:
             then="SELECT * EXCLUDE (city) FROM landing WHERE _source_file = 'landing/b1.csv' "
             "UNION ALL BY NAME SELECT * FROM landing WHERE _source_file = 'landing/b2.csv'",
         ),
+        "bronze_settled": _with(LANDING, BRONZE, then="SELECT * FROM bronze"),
         "bronze_slice": _with(
             LANDING, BRONZE, then="SELECT * FROM bronze WHERE _source_file = 'landing/b2.csv'"
         ),
@@ -267,6 +268,10 @@ def oracles() -> dict[str, str]:
             "UNION ALL SELECT 'sales', count(DISTINCT order_id) FROM keyed "
             "UNION ALL SELECT 'customers', count(*) FROM gold_customer",
         ),
+        "event_run": _with(
+            *_SILVER_PARTS, _KEYED, _customers("gold_customer", "keyed"),
+            then="SELECT * FROM gold_customer",
+        ),
         "layered_silver": _with(*_SILVER_PARTS, _KEYED, then="SELECT * FROM keyed"),
         "layered_sales": _with(*_SILVER_PARTS, _KEYED, _sales("gold_sales", "keyed"), then=_ALL_SALES),
         "stream_customers": _with(

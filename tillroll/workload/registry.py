@@ -126,6 +126,7 @@ def queries() -> dict[str, Query]:
         "bronze_rows": _bronze_rows,
         "bronze_partitions": _bronze_partitions,
         "bronze_append": stored.bronze_append,
+        "bronze_settled": stored.bronze_settled,
         "bronze_slice": _bronze_slice,
         "silver_rows": lambda spark, sf_dir: inputs.silver(spark, sf_dir),
         "upsert_silver": _upsert_silver,
@@ -145,6 +146,7 @@ def queries() -> dict[str, Query]:
         "trigger_malformed": _trigger_malformed,
         "merge_silver_table": stored.merge_silver_table,
         "merge_sales_table": stored.merge_sales_table,
+        "event_run": stored.event_run,
         "run_counts": stored.run_counts,
         "layered_silver": stored.layered_silver,
         "layered_sales": stored.layered_sales,

@@ -16,10 +16,14 @@ from tillroll.plans.sales import sales
 from tillroll.session import scratch_path
 from tillroll.sinks.catalog import LayerTable, create_database
 from tillroll.sinks.manifest import read_manifest
+from tillroll.sinks.day_store import compact
 from tillroll.sinks.merge import merge_into
-from tillroll.sinks.slices import write_slices
+from tillroll.sinks.slices import SliceTable, write_slices
+from tillroll.sinks.staging import stage
 from tillroll.sources.bronze_files import ingest_id, read_bronze
 from tillroll.sources.landing import scan_csv
+from tillroll.streaming.event_stream import EventBatch
+from tillroll.streaming.event_stream import start as start_from_events
 from tillroll.streaming.landing_stream import start
 from tillroll.workload import inputs
 
@@ -124,10 +128,29 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = _new_layers(spark).bronze
     rows = inputs.landing(spark, sf_dir)
     first = bronze_slice(rows, inputs.FIRST_FILE).drop("city")
-    second = bronze_slice(rows, inputs.SECOND_FILE)
-    for key, part in ((inputs.FIRST_FILE, first), (inputs.SECOND_FILE, second)):
-        one = ingest_id(BUCKET, key)
-        write_slices(spark, bronze, part.withColumn(INGEST_ID, F.lit(one)), [one])
+    _write_slice(spark, bronze, inputs.FIRST_FILE, first)
+    _write_slice(spark, bronze, inputs.SECOND_FILE, bronze_slice(rows, inputs.SECOND_FILE))
+    return read_bronze(spark, bronze)
+
+
+def _write_slice(spark: SparkSession, bronze: SliceTable, key: str, rows: DataFrame) -> str:
+    one = ingest_id(BUCKET, key)
+    write_slices(spark, bronze, rows.withColumn(INGEST_ID, F.lit(one)), [one])
+    return one
+
+
+def bronze_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer with both files in day partitions, after the first came again with a column that it lacked."""
+    bronze = _new_layers(spark).bronze
+    rows, _ = stage(spark, inputs.bronze(spark, sf_dir), "bronze")
+    first = bronze_slice(rows, inputs.FIRST_FILE)
+    ids = [
+        _write_slice(spark, bronze, inputs.FIRST_FILE, first.filter(F.col("order_date").isNotNull()).drop("city")),
+        _write_slice(spark, bronze, inputs.SECOND_FILE, bronze_slice(rows, inputs.SECOND_FILE)),
+    ]
+    compact(spark, bronze, ids)
+    _write_slice(spark, bronze, inputs.FIRST_FILE, first)
+    compact(spark, bronze, ids[:1])
     return read_bronze(spark, bronze)
 
 
@@ -156,6 +179,30 @@ def _streamed(spark: SparkSession, sf_dir: str) -> Layers:
     return layers
 
 
+def event_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table after notifications started the runs: copies, damaged bodies, a file that came half and then whole."""
+    folder, layers = scratch_path(spark, "events"), _new_layers(spark)
+    rows = inputs.landing(spark, sf_dir)
+    second = bronze_slice(rows, inputs.SECOND_FILE).drop(SOURCE_FILE)
+    first = _write_csv(bronze_slice(rows, inputs.FIRST_FILE).drop(SOURCE_FILE), f"{folder}/{BUCKET}/{inputs.FIRST_FILE}")
+    half = _write_csv(second.filter(F.col("customer_id").endswith("1")), f"{folder}/{BUCKET}/half.csv")
+    whole = _write_csv(second, f"{folder}/{BUCKET}/whole.csv")
+    # The store would hold a file's last state under one name; here a folder per state stands for that.
+    states = [{inputs.FIRST_FILE: first, inputs.SECOND_FILE: half}, {inputs.SECOND_FILE: whole}]
+
+    def on_batch(batch: EventBatch) -> None:
+        for files in batch.portions():
+            run_files(spark, layers, files, inputs.INGESTED)
+
+    for number, state in enumerate(states):
+        for key in state:
+            inputs.file_notifications(spark, BUCKET, key, str(number)).write.mode("append").text(f"{folder}/notes")
+        start_from_events(
+            spark, f"{folder}/notes", f"{folder}/checkpoint", on_batch, lambda bucket, key, state=state: state[key]
+        ).awaitTermination()
+    return spark.table(layers.customers.name)
+
+
 def _run(spark: SparkSession, sf_dir: str) -> tuple[Layers, Report]:
     """Both landing files through all layers, in one batch."""
     layers = _new_layers(spark)
