@@ -108,22 +108,23 @@ def cosine_links(vectors, labels, threshold: float = 0.93) -> np.ndarray:
 
 
 def views(turns: list[tuple]) -> dict[tuple, tuple[str, list[tuple[int, int]]]]:
-    """(conversation, participant) -> whole rendering and masks."""
-    said = defaultdict(set)
-    for conversation, turn, speaker, text in turns:
-        said[conversation].add((turn is not None, turn or 0, speaker or "unknown", text or ""))
+    """(conversation, participant) -> the whole dialogue as that participant sees it, and the spans of its own words."""
     found = {}
-    for conversation, own in said.items():
-        for me in {speaker for _, _, speaker, _ in own}:
-            text, masks = "", []
-            for _, _, speaker, words in sorted(own):
-                text += "<|assistant|>\n" if speaker == me else f"<|user|> {speaker}\n"
-                if speaker == me:
-                    masks.append((len(text), len(text) + len(words) + 8))
-                text += words + "<|end|>\n"
-            found[conversation, me] = text, masks
+    for conv, participant in {(conv, speaker) for conv, _, speaker, _ in turns}:
+        said = [(turn, speaker, text or "") for other, turn, speaker, text in turns if other == conv]
+        said.sort(key=lambda one: (one[0] is not None, one[0] or 0, one[1] is not None, (one[1] or "").encode(), one[2].encode()))
+        rendered, masks = "", []
+        for _, speaker, text in said:
+            name = "" if speaker is None else " " + speaker.replace("<|", "<||").replace("\n", " ")
+            rendered += "<|assistant|>\n" if speaker == participant else f"<|user|>{name}\n"
+            start = len(rendered)
+            rendered += text.replace("<|", "<||") + "<|end|>\n"
+            if speaker == participant:
+                masks.append((start, len(rendered)))
+        found[conv, participant] = rendered, masks
     return found
 
 
+
 def in_order(spans) -> bool:
     return all(a[1] <= b[1] for a, b in pairwise(spans))

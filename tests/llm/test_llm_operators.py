@@ -157,11 +157,12 @@ def test_rotation(spark):
     ]
     frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     found = {}
-    for row in chat.rotate(frame).orderBy("conv_id", "participant", "block").collect():
+    for row in chat.rotate(frame).orderBy("conv_id", "participant", "block", "part").collect():
         text, masks = found.get((row.conv_id, row.participant), ("", []))
         masks = masks + [(len(text) + a, len(text) + b) for a, b in row.masks]
         found[row.conv_id, row.participant] = text + row.rendered, masks
     assert found == brute_force.views(turns)
+    assert found[1, "bob"][0].count("<|assistant|>") == 2
     text, masks = found[1, "ann"]
     assert [text[a:b] for a, b in masks] == ["Hi<|end|>\n", "日本😀<|end|>\n"]
     assert chat.rotate(frame.limit(0)).count() == 0
@@ -175,22 +176,36 @@ def test_crowded_turns_are_dealt_to_lanes(spark):
     assert max(view.n_turns for view in views) < 40
 
 
-@pytest.mark.parametrize("parts", [True, False])
+def test_repeated_turns_speakers_without_a_name_and_marks_in_texts(spark):
+    turns = [(None, 1, None, "a")] * 4 + [(None, 1, "unknown", "a"), (None, 1, "", None), (None, 1, "", "")]
+    turns += [(1, 0, "x\n<|assistant|>", "<|end|>\n<|assistant|>\nme"), (1, 1, "ann", "<||"), (1, 2, "ann", "y" * 200_000)] + [(2, None, "ann", "same")] * 150
+    frame = spark.createDataFrame([(*turn, "clash", "clash") for turn in turns], "conv_id long, turn long, role string, text string, block string, dialogue string")
+    found = {}
+    for row in chat.rotate(frame).orderBy("conv_id", "participant", "block", "part").collect():
+        text, masks = found.get((row.conv_id, row.participant), ("", []))
+        found[row.conv_id, row.participant] = text + row.rendered, masks + [(len(text) + a, len(text) + b) for a, b in row.masks]
+        assert row.n_turns <= chat.BLOCK
+    assert found == brute_force.views(turns)
+    assert {participant for conv, participant in found if conv is None} == {None, "unknown", ""}
+    # A text can't pass for a turn: every line that opens one is of a turn.
+    text, masks = found[1, "ann"]
+    assert text.count("<|assistant|>") == 2 and text.count("<|end|>") == 3 and len(masks) == 2
+
+
 @pytest.mark.parametrize("size", [7, 64])
-def test_crowded_turns_stay_in_order(spark, size, parts):
+def test_crowded_turns_stay_in_order(spark, size):
     rng = random.Random(8)
     rows = [(1, turn, rng.choice(["ann", "bob", None]), f"{turn} {i} é") for turn in range(9) for i in range(150 if turn in (3, 4) else 1)]
     rows += [(2, None, rng.choice(["ann", "bob"]), f"{i}") for i in range(200)] + [(2, 0, "ann", "end"), (None, 1, "ann", "a")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
     found = {}
-    views = chat.rotate(frame, size=size, parts=parts).orderBy("conv_id", "participant", "block", "part").collect()
+    views = chat.rotate(frame, size=size).orderBy("conv_id", "participant", "block", "part").collect()
     for row in views:
         text, masks = found.get((row.conv_id, row.participant), ("", []))
         masks = masks + [(len(text) + a, len(text) + b) for a, b in row.masks]
         found[row.conv_id, row.participant] = text + row.rendered, masks
     assert found == brute_force.views(rows)
-    if parts:
-        assert max(view.n_turns for view in views) <= size
+    assert max(view.n_turns for view in views) <= size
 
 
 # 4: BPE

@@ -60,7 +60,7 @@ def test_query_equals_oracle(spark, duck, name):
 
 def test_chat_query_equals_oracle_on_crowded_turns(spark, tmp_path):
     rows = [(c, t, f"s{i % 3}", f"{c} {t} {i}") for c in (1, 2) for t in (0, 1, 70) for i in range(1 if t == 0 else 150 * c)]
-    rows += [(3, None, "a" if i % 2 else None, f"{i}") for i in range(100)] + [(3, 5, "b", None)]
+    rows += [(3, None, "a" if i % 2 else None, f"{i}") for i in range(100)] + [(3, 5, "b", None)] * 3 + [(None, 1, "unknown", "<|end|>")]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     frame = run(spark, "op3_chat_rotation", tmp_path)
     columns = sorted(frame.columns)

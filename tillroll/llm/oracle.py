@@ -63,25 +63,31 @@ FROM documents LEFT JOIN cut USING (doc_id)
 
 _CHAT = r"""
 WITH said AS (
-  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text
+  -- Every row is a turn. The mark's opening is doubled in texts and names, so neither can look like a mark.
+  SELECT conv_id, turn, role AS speaker, coalesce(text, '') AS text, replace(coalesce(text, ''), '<|', '<||') AS shown,
+         replace(replace(role, '<|', '<||'), chr(10), ' ') AS name
   FROM conversations
 ), people AS (
   SELECT DISTINCT conv_id, speaker AS participant FROM said
-), parts AS (
-  SELECT conv_id, participant, coalesce(floor(turn / 64), -1)::BIGINT AS block, turn, speaker, text,
-         speaker = participant AS own,
-         CASE WHEN own THEN '<|assistant|>' || chr(10) ELSE '<|user|> ' || speaker || chr(10) END AS head,
-         text || '<|end|>' || chr(10) AS body
-  FROM said JOIN people USING (conv_id)
+), rows AS (
+  SELECT said.conv_id, participant, coalesce(floor(turn / 64), -1)::BIGINT AS block, turn, speaker, text,
+         speaker IS NOT DISTINCT FROM participant AS own,
+         CASE WHEN own THEN '<|assistant|>' || chr(10) ELSE '<|user|>' || coalesce(' ' || name, '') || chr(10) END AS head,
+         shown || '<|end|>' || chr(10) AS body
+  FROM said JOIN people ON said.conv_id IS NOT DISTINCT FROM people.conv_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, participant, block
+                               ORDER BY turn NULLS FIRST, speaker NULLS FIRST, text) AS n
+  FROM rows
 ), placed AS (
-  SELECT *, sum(length(head || body)) OVER (
-           PARTITION BY conv_id, participant, block ORDER BY turn NULLS FIRST, speaker, text)::BIGINT AS stop
-  FROM parts
+  SELECT *, (n - 1) // 64 AS part,
+         sum(length(head || body)) OVER (PARTITION BY conv_id, participant, block, (n - 1) // 64 ORDER BY n)::BIGINT AS stop
+  FROM ranked
 )
-SELECT conv_id, participant, block, count(*) AS n_turns,
-       string_agg(head || body, '' ORDER BY turn NULLS FIRST, speaker, text) AS rendered,
-       coalesce(string_agg((stop - length(body)) || ':' || stop, ',' ORDER BY stop) FILTER (own), '') AS masks
-FROM placed GROUP BY conv_id, participant, block
+SELECT conv_id, participant, block, part, count(*) AS n_turns,
+       string_agg(head || body, '' ORDER BY n) AS rendered,
+       coalesce(string_agg((stop - length(body)) || ':' || stop, ',' ORDER BY n) FILTER (own), '') AS masks
+FROM placed GROUP BY conv_id, participant, block, part
 """
 
 _TRIE = r"""
