@@ -8,81 +8,72 @@ A rendering comes in blocks of BLOCK turn numbers, and a block in parts of at mo
 by rank in the one order of all turns: however many turns share a number, parts in order, joined
 without a separator, are the whole dialogue. An endless conversation never meets in one task, and
 most conversations have one block of one part. Ranks are taken only where a block holds more than
-BLOCK turns: those rows are sorted by ranges, and a rank is the place in the range plus the rows of
-the ranges before. `rotate(parts=False)` leaves blocks whole, so that the longest block is a row.
+BLOCK turns: those rows are sorted by ranges, which also part equal rows.
 
-Defined cases: turns come by number (NULL first, as block -1), speaker and text. Rows alike
-in conversation, number, speaker and text are one turn. A NULL speaker is named `unknown`, a NULL
-text is empty; rows with a NULL conversation id form one conversation. Other columns are dropped.
+Defined cases: every row is a turn, also one that equals another. Turns come by number (NULL first,
+as block -1), speaker (NULL first) and text. A NULL speaker is a participant of its own, shown
+without a name; a NULL text is empty; rows with a NULL conversation id form one conversation. So that
+neither can pass for a mark, `<|` is written `<||` in texts and names (and read back the other
+way), and line breaks in names are shown as spaces. Other columns are dropped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tillroll.llm.common import let, staged
+from tillroll.llm.common import let
+from tillroll.llm.places import numbered
 
 BLOCK = 64
 # Fixed marks of the rendered format.
 ASSISTANT = "<|assistant|>\n"
-USER = "<|user|> "
+USER = "<|user|>"
 END = "<|end|>\n"
-UNKNOWN = "unknown"
+OPENING, DOUBLED = "<|", "<||"
 
 
 def turns(rows: DataFrame, conversation: str, turn: str, speaker: str, text: str) -> DataFrame:
-    """(dialogue, turn, speaker, text) without repeats; the dialogue is a struct, so NULL ids meet."""
+    """(dialogue, turn, speaker, text); the dialogue is a struct, so that NULL ids meet."""
     return rows.select(
-        F.struct(F.col(conversation).alias("id")).alias("dialogue"),
-        F.col(turn).alias("turn"),
-        F.coalesce(speaker, F.lit(UNKNOWN)).alias("speaker"),
-        F.coalesce(text, F.lit("")).alias("text"),
-    ).distinct()
+        F.struct(F.col(f"`{conversation}`").alias("id")).alias("dialogue"),
+        F.col(f"`{turn}`").alias("turn"),
+        F.col(f"`{speaker}`").alias("speaker"),
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
+    )
 
 
 def ranked(said: DataFrame, size: int) -> DataFrame:
     """`said`, which has blocks, with each turn's part of its block: its rank there by `size`."""
-    home = F.struct("dialogue", "block")
-    crowded = (
-        said.groupBy(home.alias("home")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size).select("home")
-    )
-    homed = said.withColumn("home", home)
-    order = ["home", "turn", "speaker", "text"]
-    full = homed.join(crowded, "home", "left_semi").repartitionByRange(*order).sortWithinPartitions(*order)
-    # Staged, since the places are read twice and ranges may differ between two runs.
-    placed = staged(said.sparkSession, full.withColumn("place", F.monotonically_increasing_id()), "turns")
-    stretch = F.shiftright("place", 33).alias("stretch")
-    before = Window.partitionBy("home").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    stretches = (
-        placed.groupBy("home", stretch)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least"))
-        .select("home", "stretch", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("least")).alias("shift"))
-    )
     names = ["dialogue", "block", "turn", "speaker", "text"]
-    part = F.floor((F.col("place") + F.col("shift")) / size).cast("long").alias("part")
-    cut = placed.withColumn("stretch", stretch).join(stretches, ["home", "stretch"]).select(*names, part)
+    homed = said.withColumn("home", F.struct("dialogue", "block"))
+    crowded = homed.groupBy("home").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size).select("home")
+    full = homed.join(crowded, "home", "left_semi")
+    placed = numbered(said.sparkSession, full, ["home", "turn", "speaker", "text"])
+    first = placed.groupBy("home").agg(F.min("place").alias("first"))
+    part = F.floor((F.col("place") - F.col("first")) / size).cast("long").alias("part")
     rest = homed.join(crowded, "home", "left_anti").select(*names, F.lit(0).cast("long").alias("part"))
-    return rest.unionByName(cut)
+    return rest.unionByName(placed.join(first, "home").select(*names, part))
 
 
-def blocks(said: DataFrame, size: int = BLOCK, parts: bool = True) -> DataFrame:
+def blocks(said: DataFrame, size: int = BLOCK) -> DataFrame:
     """(dialogue, block, part, turns): each part's turns in order."""
     block = F.coalesce(F.floor(F.col("turn") / size), F.lit(-1)).cast("long")
-    blocked = said.withColumn("block", block)
-    dealt = ranked(blocked, size) if parts else blocked.withColumn("part", F.lit(0).cast("long"))
-    return dealt.groupBy("dialogue", "block", "part").agg(
+    return ranked(said.withColumn("block", block), size).groupBy("dialogue", "block", "part").agg(
         F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns")
     )
 
 
 def _rendered(turn: Column, participant: Column) -> tuple[Column, Column]:
     """What comes before the text of a turn, and the text with its end mark."""
-    head = F.when(turn["speaker"] == participant, F.lit(ASSISTANT)).otherwise(
-        F.concat(F.lit(USER), turn["speaker"], F.lit("\n"))
-    )
-    return head, F.concat(turn["text"], F.lit(END))
+    name = F.translate(_shown(turn["speaker"]), "\n", " ")
+    user = F.concat(F.lit(USER), F.coalesce(F.concat(F.lit(" "), name), F.lit("")), F.lit("\n"))
+    head = F.when(turn["speaker"].eqNullSafe(participant), F.lit(ASSISTANT)).otherwise(user)
+    return head, F.concat(_shown(turn["text"]), F.lit(END))
+
+
+def _shown(text: Column) -> Column:
+    return F.replace(text, F.lit(OPENING), F.lit(DOUBLED))
 
 
 def _drawn(turns: Column, me: Column) -> Column:
@@ -95,7 +86,7 @@ def _drawn(turns: Column, me: Column) -> Column:
         end = start + F.length(body)
         own = F.array(F.struct(start.alias("start"), end.alias("end")))
         none = F.array().cast("array<struct<start:int,end:int>>")
-        masks = F.concat(state["masks"], F.when(turn["speaker"] == me, own).otherwise(none))
+        masks = F.concat(state["masks"], F.when(turn["speaker"].eqNullSafe(me), own).otherwise(none))
         return F.struct(end.alias("length"), masks.alias("masks"))
 
     begun = F.struct(
@@ -137,16 +128,15 @@ def rotate(
     speaker: str = "role",
     text: str = "text",
     size: int = BLOCK,
-    parts: bool = True,
 ) -> DataFrame:
     """(conversation, participant, block, part, n_turns, rendered, masks).
 
     `masks` is an array of (start, end) in characters of `rendered`, ends exclusive. Views of a
-    participant in order of block and part are the whole dialogue; without `parts`, `part` is 0.
+    participant in order of block and part are the whole dialogue.
     """
     said = turns(rows, conversation, turn, speaker, text)
     people = said.select("dialogue", F.col("speaker").alias("participant")).distinct()
-    views = blocks(said, size, parts).join(people, "dialogue")
+    views = blocks(said, size).join(people, "dialogue")
     # Masks are gathered over BLOCK turns at a time, as each step copies those before.
     steps = F.sequence(F.lit(0), F.floor((F.size("turns") - 1) / BLOCK).cast("int"))
     pieces = F.transform(steps, lambda i: _drawn(F.slice("turns", i * BLOCK + 1, F.lit(BLOCK)), F.col("participant")))

@@ -116,8 +116,7 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chat_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     masks = F.transform("masks", lambda mask: F.concat_ws(":", mask["start"], mask["end"]))
-    views = chat.rotate(rows, parts=False).drop("part")
-    return views.withColumn("masks", F.array_join(masks, ","))
+    return chat.rotate(rows).withColumn("masks", F.array_join(masks, ","))
 
 
 def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
