@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import string
 import zlib
@@ -453,7 +454,7 @@ def test_language(spark, docs, nothing):
     assert sorted(found[2].languages) == ["en", "fr"] and found[2].score < 0.7
     assert [(row.lang_pred, row.score) for row in found[3:6]] == [("und", 0.0)] * 3
     assert found[6].lang_pred in ("en", "fr") and 0 <= found[6].score <= 1
-    assert language.predict(docs, model).columns == [*docs.columns, "lang_pred", "score", "languages"]
+    assert language.predict(docs, model).columns == [*docs.columns, "lang_pred", "score", "languages", "gap"]
     untaught = language.learn(nothing)
     assert {row.lang_pred for row in language.predict(docs, untaught).collect()} == {"und"}
 
@@ -466,7 +467,8 @@ def test_languages_come_to_the_driver_packed(spark, monkeypatch):
     monkeypatch.setattr(kind, "collect", lambda self: shapes.append(rows := whole(self)) or rows)
     monkeypatch.setattr(kind, "toArrow", None)
     names, model = language.learn(frame)
-    assert names == ["de", "en", "fr"] and sum(map(len, shapes)) == 3
+    # One row per language, and the number of languages, which is counted before.
+    assert names == ["de", "en", "fr"] and sum(map(len, shapes)) <= 4
     counts = np.full(language.BUCKETS, language.SMOOTHING)
     for text, lang in rows:
         if lang == "en":
@@ -476,6 +478,66 @@ def test_languages_come_to_the_driver_packed(spark, monkeypatch):
     assert model[1].tolist() == pytest.approx(np.log(counts / counts.sum()).tolist(), rel=1e-6)
 
 
+def test_too_many_languages_are_an_error_before_counting(spark, monkeypatch):
+    monkeypatch.setattr(language, "_count_languages", None)
+    frame = spark.range(300).selectExpr("'a few words' text", "concat('l', id) lang")
+    with pytest.raises(ValueError, match="more than 256 languages"):
+        language.learn(frame)
+
+
+def plain_mixture(logs, trigrams):
+    """The method over single trigrams, in plain Python: expectation-maximisation, then nested sets by penalised likelihood."""
+    tops = {t: max(own[t] for own in logs) for t in trigrams}
+
+    def settle(chosen, shares):
+        for _ in range(language.STEPS):
+            fresh = dict.fromkeys(chosen, 0.0)
+            for t in trigrams:
+                parts = {i: shares[i] * math.exp(logs[i][t] - tops[t]) for i in chosen}
+                whole = sum(parts.values())
+                for i in chosen:
+                    fresh[i] += parts[i] / whole / len(trigrams)
+            moved = max(abs(fresh[i] - shares[i]) for i in chosen)
+            shares = fresh
+            if moved < language.SETTLED:
+                break
+        return shares, sum(math.log(sum(shares[i] * math.exp(logs[i][t] - tops[t]) for i in chosen)) for t in trigrams)
+
+    everyone = list(range(len(logs)))
+    shares, _ = settle(everyone, dict.fromkeys(everyone, 1 / len(logs)))
+    order = sorted(everyone, key=lambda i: (-shares[i], i))
+    penalty = math.log(len(trigrams) + 1) / 2
+    best = order[0], 1.0
+    score = sum(max(logs[order[0]][t] - tops[t], math.log(1e-300)) for t in trigrams) / language.OVERLAP - penalty
+    for size in range(2, sum(shares[i] > language.SETTLED for i in everyone) + 1):
+        chosen = order[:size]
+        begun = sum(shares[i] for i in chosen)
+        own, likelihood = settle(chosen, {i: shares[i] / begun for i in chosen})
+        if likelihood / language.OVERLAP - size * penalty <= score:
+            break
+        score = likelihood / language.OVERLAP - size * penalty
+        top = min(chosen, key=lambda i: (-own[i], chosen.index(i)))
+        best = top, own[top]
+    return best
+
+
+def test_predictions_equal_a_plain_mixture(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("doc_id % 3 = 0 or length(text) < 400")
+    model = language.learn(docs)
+    names, logs = model[0], model[1].astype(np.float64)
+    mixed = [(f"{a.text} {b.text}",) for a, b in zip(docs.limit(12).collect(), docs.filter("lang = 'fr'").limit(12).collect()) if a.text and b.text]
+    asked = docs.select("text").filter("length(text) < 3000").union(spark.createDataFrame(mixed, "text string"))
+    settled = 0
+    for row in language.predict(asked, model).collect():
+        if row.lang_pred == language.UNKNOWN:
+            continue
+        trigrams = [int(t) for part in language._trigrams(row.text) for t in part]
+        top, share = plain_mixture(logs, trigrams)
+        assert row.lang_pred == names[top] and row.score == pytest.approx(min(1.0, share), abs=1e-6)
+        settled += row.gap < language.SETTLED
+    assert settled > 0
+
+
 # 9: SimHash
 
 

@@ -9,12 +9,14 @@ letter about three times, so their log-likelihood counts a third.
 Scale: learning is one pass that counts per task and language before it shuffles, so each task
 sends at most BUCKETS rows per language; an executor packs each language's into one array,
 so that the driver holds no more than the model; prediction is a projection. The model holds BUCKETS
-counts per learned language; more than LANGUAGES learned languages are an error, which bounds
-what is sent to the executors (256 languages: 64 MB).
+counts per learned language; more than LANGUAGES learned languages are an error before anything is
+counted, which bounds what a worker holds (512 KB per language of its rows) and what is sent to the
+executors (256 languages: 64 MB).
 
 Defined cases: rows with a NULL language or text teach nothing. A NULL text, or one without a
 letter, is `und` with score 0, and so is every text if nothing was learned. Equal proportions
-go to the language that sorts first. Rows are independent; all columns stay.
+go to the language that sorts first. Rows are independent; all columns stay. `gap` is the greatest
+move of a proportion in the last step: above SETTLED, the steps ended before the mixture settled.
 """
 
 from __future__ import annotations
@@ -94,26 +96,24 @@ def _packed(counts: pa.Table) -> pa.Table:
 
 def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[list[str], np.ndarray]:
     """The learned languages in order, and the log-probability of each trigram in each."""
-    rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
+    rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text")).dropna()
+    if rows.select("lang").distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to learn")
     counts = (
-        rows.dropna()
-        .mapInArrow(_count_languages, "lang string, bucket long, n long")
+        rows.mapInArrow(_count_languages, "lang string, bucket long, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
     packed = counts.groupBy("lang").applyInArrow(_packed, "lang string, logs binary")
-    found = packed.limit(LANGUAGES + 1).collect()
-    if len(found) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages to learn")
-    found.sort(key=lambda row: row["lang"])
+    found = sorted(packed.collect(), key=lambda row: row["lang"])
     model = np.empty((len(found), BUCKETS), dtype=np.float32)
     for i, row in enumerate(found):
         model[i] = np.frombuffer(row["logs"], dtype=np.float32)
     return [row["lang"] for row in found], model
 
 
-def _mixture(chances: np.ndarray, counts: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, float]:
-    """Proportions that expectation-maximisation settles on, and the log-likelihood there."""
+def _mixture(chances: np.ndarray, counts: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Proportions that expectation-maximisation settles on, the log-likelihood there, and the last move."""
     total = counts.sum()
     for _ in range(STEPS):
         mixed = shares @ chances
@@ -122,31 +122,31 @@ def _mixture(chances: np.ndarray, counts: np.ndarray, shares: np.ndarray) -> tup
         shares = fresh
         if moved < SETTLED:
             break
-    return shares, float(counts @ np.log(shares @ chances))
+    return shares, float(counts @ np.log(shares @ chances)), float(moved)
 
 
-def infer(logs: np.ndarray, found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(languages, proportions) of a text, the largest proportion first."""
+def infer(logs: np.ndarray, found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """(languages, proportions, gap) of a text, the largest proportion first."""
     own = logs[:, found].astype(np.float64)
     # Likelihoods relative to the best language per trigram can't all vanish.
     top = own.max(axis=0)
     chances = np.exp(own - top)
     counts = counts.astype(np.float64)
     k = len(logs)
-    shares, _ = _mixture(chances, counts, np.full(k, 1 / k))
+    shares, _, gap = _mixture(chances, counts, np.full(k, 1 / k))
     order = np.argsort(-shares, kind="stable")
     penalty = np.log(counts.sum() + 1) / 2
     single = int(order[0])
-    best = (np.array([single]), np.ones(1))
+    best = (np.array([single]), np.ones(1), gap)
     score = float(counts @ np.log(np.maximum(chances[single], 1e-300))) / OVERLAP - penalty
     for size in range(2, int((shares > SETTLED).sum()) + 1):
         chosen = order[:size]
-        part, likelihood = _mixture(chances[chosen], counts, shares[chosen] / shares[chosen].sum())
+        part, likelihood, moved = _mixture(chances[chosen], counts, shares[chosen] / shares[chosen].sum())
         penalised = likelihood / OVERLAP - size * penalty
         if penalised <= score:
             break
         ranked = np.argsort(-part, kind="stable")
-        best, score = (chosen[ranked], part[ranked]), penalised
+        best, score = (chosen[ranked], part[ranked], max(gap, moved)), penalised
     return best
 
 
@@ -157,28 +157,28 @@ def _has_letter(text: str) -> bool:
 def predict(
     docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
-    """`docs` (or its columns in `keep`) with `lang_pred`, `score` and the array `languages`.
+    """`docs` (or its columns in `keep`) with `lang_pred`, `score`, the array `languages` and `gap`.
 
     The score is the predicted language's proportion of the text; `languages` lists all found.
     """
     names, logs = model
     columns = docs.columns if keep is None else keep
     same = [F.col(f"`{name}`").alias(f"kept_{i}") for i, name in enumerate(columns)]
-    fields = docs.select(*same).schema.add("first", "string").add("score", "double").add("all", T.ArrayType(T.StringType()))
+    fields = docs.select(*same).schema.add("first", "string").add("score", "double").add("all", T.ArrayType(T.StringType())).add("gap", "double")
 
-    def one(text: str | None) -> tuple[str, float, list[str]]:
+    def one(text: str | None) -> tuple[str, float, list[str], float]:
         if not names or not text or not _has_letter(text):
-            return UNKNOWN, 0.0, []
-        chosen, shares = infer(logs, *_counted(text))
-        return names[chosen[0]], min(1.0, float(shares[0])), [names[i] for i in chosen]
+            return UNKNOWN, 0.0, [], 0.0
+        chosen, shares, gap = infer(logs, *_counted(text))
+        return names[chosen[0]], min(1.0, float(shares[0])), [names[i] for i in chosen], gap
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 *kept, texts = batch.slice(start, SLICE).columns
-                first, score, every = zip(*(one(text) for text in texts.to_pylist()), strict=True)
-                made = [pa.array(first), pa.array(score, pa.float64()), pa.array(every, pa.list_(pa.string()))]
+                first, score, every, gap = zip(*(one(text) for text in texts.to_pylist()), strict=True)
+                made = [pa.array(first), pa.array(score, pa.float64()), pa.array(every, pa.list_(pa.string())), pa.array(gap, pa.float64())]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=fields.names)
 
     made = docs.select(*same, F.col(f"`{text}`").alias("given")).mapInArrow(run, fields)
-    return made.toDF(*columns, *(unused_name(columns, wish) for wish in ("lang_pred", "score", "languages")))
+    return made.toDF(*columns, *(unused_name(columns, wish) for wish in ("lang_pred", "score", "languages", "gap")))
