@@ -1,11 +1,17 @@
 """Byte-level BPE encoding and decoding, exact to the tokenizer file's own library.
 
-Most text is split by the tokenizer's pattern into short pieces. Text that the pattern leaves
-unsplit over LONG bytes is encoded by tree concatenation: its halves, down to LEAF bytes, are
-encoded on their own, in parallel by the library's batch call; then, level by level, windows
-around each join are encoded again, and grown until their first and last token agree with the
-tokens that both sides already had there. A BPE encoding is right exactly if all neighbouring
-tokens are, and those agreeing tokens have the right neighbours on either side.
+Text over BRANCH characters is encoded by tree concatenation: its halves, cut anywhere, are encoded on
+their own, down to the leaves; then, level by level, a window around each join is encoded again with the
+pre-tokenizer, and grown until both sides agree. It reaches from the SPARE-th safe cut before the
+join to the SPARE-th after it. A safe cut is a place that the pattern parts in any text: before a
+space or line feed that follows something visible, or between a letter and a punctuation mark. The
+sides agree if the cuts are edges of tokens in both halves, and the first and the last fresh token are
+those that the halves had there. A window that covers both halves is simply their encoding.
+
+A run of over LONG bytes that the pattern leaves unsplit is the special case of one piece: its
+halves, down to LEAF bytes, are encoded in parallel by the library's batch call, and windows grow until
+their first and last token agree with both sides. A BPE encoding is right exactly if all
+neighbouring tokens are, and those agreeing tokens have the right neighbours on either side.
 
 Scale: both directions are projections without a shuffle. Texts pass through Python in Arrow
 batches, and out again in slices, so memory follows the longest text and not the batch.
@@ -22,6 +28,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +41,9 @@ from tillroll.llm.common import ship, unused_name
 
 ship(__name__)
 
+BRANCH = 2048
+REACH = 64
+SPARE = 2
 LONG = 1024
 LEAF = 512
 WINDOW = 4
@@ -84,9 +94,47 @@ class Codec:
         return Tokenizer(self.whole.model)
 
     def encode(self, text: str) -> np.ndarray:
-        found = [self._encode_piece(piece) for piece in _pieces(text)]
+        found = [self._encode_tree(piece) for piece in _pieces(text)]
         return found[0] if len(found) == 1 else np.concatenate([np.empty(0, np.uint32), *found])
 
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        """The bytes of each token."""
+        sizes = np.zeros(self.fast.n_vocab, np.int64)
+        for token, i in self.special.items():
+            sizes[i] = len(token.encode())
+        for i, token in self.letters.items():
+            sizes[i] = len(token)
+        return sizes
+
+    @cached_property
+    def whole_specials(self) -> bool:
+        """No special token could be cut by a safe cut."""
+        return not any(_SAFE.search(token) for token in self.special)
+
+    def _encode_tree(self, text: str) -> np.ndarray:
+        if len(text) <= BRANCH or not self.whole_specials:
+            return self._encode_piece(text)
+        left, right = text[: len(text) // 2], text[len(text) // 2 :]
+        return self.concatenate(left, self._encode_tree(left), right, self._encode_tree(right))
+
+    def concatenate(self, left: str, left_ids: np.ndarray, right: str, right_ids: np.ndarray) -> np.ndarray:
+        """The tokens of two neighbouring stretches of text, as if encoded in one."""
+        reach = REACH
+        while reach < max(len(left), len(right)):
+            near = max(0, len(left) - reach)
+            before = [cut.end() for cut in _SAFE.finditer(left, near)][-SPARE:]
+            after = [cut.end() for cut in islice(_SAFE.finditer(right, 0, reach), SPARE)]
+            if len(before) == len(after) == SPARE:
+                start, end = before[0], after[-1]
+                i = len(left_ids) - _tokens_over(self.sizes[left_ids[-4 * reach :]][::-1], len(left[start:].encode()))
+                j = _tokens_over(self.sizes[right_ids[: 4 * reach]], len(right[:end].encode()))
+                fresh = self._encode_piece(left[start:] + right[:end])
+                if 0 <= i <= len(left_ids) and j >= 0 and fresh[0] == left_ids[i] and fresh[-1] == right_ids[j - 1]:
+                    return np.concatenate([left_ids[:i], fresh, right_ids[j:]])
+            reach *= 2
+        return self._encode_piece(left + right)
+
     def _encode_piece(self, text: str) -> np.ndarray:
         if not _has_unsplit(text):
             return self.fast.encode_to_numpy(text, allowed_special="all")
@@ -139,6 +187,13 @@ class Codec:
         return "".join([*parts, decoder.decode(b"", True)])
 
 
+def _tokens_over(sizes: np.ndarray, size: int) -> int:
+    """How many of the tokens have `size` bytes together; -1 if there is no edge of a token."""
+    ends = np.cumsum(sizes)
+    place = int(np.searchsorted(ends, size))
+    return place + 1 if place < len(ends) and ends[place] == size else -(1 << 62)
+
+
 def _halves(piece: str) -> list[str]:
     if len(piece) <= LEAF:
         return [piece]
@@ -146,6 +201,8 @@ def _halves(piece: str) -> list[str]:
     return _halves(piece[:middle]) + _halves(piece[middle:])
 
 
+# Each match ends at a cut; see above. Letters of scripts that put no spaces between words are among them.
+_SAFE = re.compile(r"\S(?=[ \n])|[A-Za-z\u3041-\u3096\u4E00-\u9FFF](?=[,.;:!?\u3001\u3002\uFF0C\uFF01\uFF1F])")
 # The pattern never joins a visible character to white space after it, so a text can be cut there.
 _CUT = re.compile(r"(?<=[!-~])[ \n]")
 
