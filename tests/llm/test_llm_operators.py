@@ -148,6 +148,43 @@ def test_rates_are_exponential_in_the_size(spark):
         assert met == pytest.approx(row.target, rel=1e-6)
 
 
+def test_slopes_and_first_copies_equal_plain_root_finding(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = mixing.measured(docs)
+    solved, changes = mixing.copies(spark, rows)
+    draws = F.shiftrightunsigned(F.xxhash64(F.lit("copies"), "document"), 11).alias("draw")
+    given = rows.select("document", "origin", "size", draws).collect()
+    moved = {(row.document, row.origin): row.change for row in changes.collect()}
+    taken = {(row.document, row.origin): row.copies for row in mixing.with_copies(rows, solved, changes).collect()}
+    for source in solved.collect():
+        own = [row for row in given if row.origin == source.origin]
+        sizes = [row.size for row in own if row.size]
+
+        def rate(slope, size):
+            return mixing.CAP if slope * size >= math.log(mixing.CAP) else math.exp(slope * size)
+
+        low, high = -100.0, 100.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            if sum(size * rate(middle, size) for size in sizes) > source.target:
+                high = middle
+            else:
+                low = middle
+        if source.target < mixing.CAP * sum(sizes):
+            assert source.slope == pytest.approx(low, abs=1e-6)
+        for row in own:
+            first = min(mixing.CAP, math.floor(rate(source.slope, row.size) + row.draw * 2.0**-53))
+            key = row.document, row.origin
+            assert taken[key] == first + moved.get(key, 0)
+
+
+def test_a_mix_that_does_not_settle_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    frame = spark.range(60).selectExpr("id doc_id", "repeat('word ', cast(1 + id % 9 as int)) text", "concat('s', id % 3) source")
+    with pytest.raises(ValueError, match="off its target"):
+        mixing.mix(spark, frame)
+
+
 # 3: chat
 
 

@@ -41,7 +41,7 @@ from tillroll.llm.common import ship, unused_name
 
 ship(__name__)
 
-BRANCH = 2048
+BRANCH = 4096
 REACH = 64
 SPARE = 2
 LONG = 1024

@@ -14,6 +14,8 @@ sizes. Sums are of whole numbers, so reruns agree to the last digit. Tables of o
 source or size are joined by whatever join their measured size allows. Only the ranking of the
 sources, one row each, meets in one task. The driver sees one number per step.
 
+A source that has not settled after STEPS steps is an error.
+
 Defined cases: the size is the number of words (NULL text: 0). NULL is a source like any other.
 Rows that agree in id, text and source get the same copies. A document of size 0 is taken once and counts nothing. An
 empty table gives an empty mix. Other columns stay as they are.
@@ -150,6 +152,8 @@ def slopes(spark: SparkSession, sizes: DataFrame, goals: DataFrame) -> DataFrame
         state = staged_step.drop("gap")
         if (seen["gap"] or 0.0) <= TOLERANCE:
             break
+    else:
+        raise ValueError(f"after {STEPS} steps a source is still off its target by a factor of {1 + seen['gap']}")
     # A full source takes every document CAP times.
     final = state.withColumn("slope", F.when(full, F.lit(1e300)).otherwise(F.col("slope")))
     return (
