@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -132,6 +133,40 @@ def test_embedding_groups(spark, duck):
     assert rows_of(run(spark, "op7_lattice")) == sorted(expected, key=repr)
 
 
+def test_embedding_query_on_planted_links(spark, tmp_path):
+    """The registered parameters on pairs just above 0.93, pairs just below it, copies, and a hot group of near copies."""
+    rng = np.random.default_rng(11)
+
+    def beside(vector, cosine):
+        other = rng.normal(size=len(vector))
+        other -= vector * (other @ vector) / (vector @ vector)
+        return (cosine * vector / np.linalg.norm(vector) + math.sqrt(1 - cosine**2) * other / np.linalg.norm(other)).tolist()
+
+    vectors, labels, planted = [], [], 0
+    for i in range(400):
+        vector, cosine = rng.normal(size=64), 0.9301 if i % 4 else 0.9299
+        vectors += [vector.tolist(), beside(vector, cosine)]
+        labels += [i % 3] * 2
+        planted += cosine > 0.93
+    centre = rng.normal(size=64)
+    vectors += [(centre + rng.normal(size=64) * 0.08).tolist() for _ in range(60)] + [centre.tolist()] * 40 + [centre.tolist(), None]
+    labels += [1] * 100 + [2, 1]
+    rows = [(i, vector, label) for i, (vector, label) in enumerate(zip(vectors, labels, strict=True))]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    links = brute_force.cosine_links(vectors, labels)
+    found = {row.vec_id: row for row in run(spark, "op7_lattice", tmp_path).collect()}
+    assert len(found) == len(rows) and links[:800].sum() == 2 * planted
+    hits = 0
+    for i in range(800):
+        assert found[i].n_links <= links[i].sum()
+        hits += found[i].n_links
+    assert hits >= 0.98 * 2 * planted
+    # The hot group is whole: each of its vectors meets the others in some cell.
+    assert sum(found[i].n_links for i in range(800, len(rows))) >= 0.999 * links[800:].sum()
+    assert {found[i].component_id for i in range(800, 900)} == {800}
+    assert [found[i].component_id for i in (900, 901)] == [900, 901]
+
+
 def test_languages(spark):
     truth = dict(duckdb.sql(f"SELECT doc_id, lang FROM '{SMALL}/documents.parquet'").fetchall())
     rows = run(spark, "op8_languages", SMALL).collect()
