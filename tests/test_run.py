@@ -61,7 +61,7 @@ class Landing:
         assert self.customers("*") == rows_of(customers(silver, self.layers.anchor))
         for table in (self.layers.sales, self.layers.customers):
             listed = {row.file_path for row in read_manifest(self.spark, table).collect()}
-            rows = self.spark.table(table.name).select("_metadata.file_path").distinct()
+            rows = self.spark.table(table.stored).select("_metadata.file_path").distinct()
             holding = {row.file_path for row in rows.collect()}
             assert holding <= listed
             extra = [path for path in listed - holding]

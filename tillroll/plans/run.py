@@ -27,7 +27,7 @@ from tillroll.plans.bronze import bronze_rows
 from tillroll.plans.customers import customers
 from tillroll.plans.sales import sales
 from tillroll.plans.silver import keyed_rows, keyless_rows
-from tillroll.sinks import day_index, day_store
+from tillroll.sinks import buckets, day_index, day_store
 from tillroll.sinks.catalog import LayerTable, create_database, in_partitions, property_of, set_property
 from tillroll.sinks.merge import Match, apply_match, match, merge_into
 from tillroll.sinks.slices import SliceTable, drop_slices, read_slices, slice_ids, write_slices
@@ -42,13 +42,15 @@ ANCHOR = "anchor"
 class Layers:
     """Where the layers live, and the day that ends the trailing windows.
 
-    Once the raw layer has `settle_at` slices, a run moves them into its day partitions.
+    Once the raw layer has `settle_at` slices, a run moves them into its day partitions. Customers lie
+    in `customer_buckets` hash buckets, some GB each at most; with another number they are dealt anew.
     """
 
     root: str
     database: str = DATABASE
     anchor: date = LATEST_DAY
     settle_at: int = 200
+    customer_buckets: int = 64
 
     @property
     def bronze(self) -> SliceTable:
@@ -78,7 +80,8 @@ class Layers:
 
     @property
     def customers(self) -> LayerTable:
-        return self._table("gold_customer", "gold/customer", GOLD_CUSTOMER, CUSTOMER_KEY, [], True)
+        table = self._table("gold_customer", "gold/customer", GOLD_CUSTOMER, CUSTOMER_KEY, [], True)
+        return replace(table, buckets=self.customer_buckets)
 
     def _slices(self, name: str, folder: str) -> SliceTable:
         return SliceTable(f"{self.database}.{name}", f"{self.root}/{folder}")
@@ -266,7 +269,7 @@ def _settle_gold(spark: SparkSession, layers: Layers) -> tuple[int, int]:
     silver = spark.table(layers.silver.name)
     pending = {key: slice_ids(spark, layers.pending(key)) for key in (SALES_KEY, CUSTOMER_KEY)}
     all_sales = not spark.catalog.tableExists(layers.sales.name)
-    all_customers = not spark.catalog.tableExists(layers.customers.name) or (
+    all_customers = not buckets.exists(spark, layers.customers) or (
         property_of(spark, layers.customers, ANCHOR) != layers.anchor.isoformat()
     )
     whole = {key for key, every in ((SALES_KEY, all_sales), (CUSTOMER_KEY, all_customers)) if every}

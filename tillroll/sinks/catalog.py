@@ -22,7 +22,8 @@ class LayerTable:
     """A published table. `path` holds one folder per version, and the catalog says which counts.
 
     With `manifest`, every write keeps the file lists for external readers in step. For each column in
-    `indexed`, every merge keeps the index of the days that its values lie in, once there is one.
+    `indexed`, every merge keeps the index of the days that its values lie in, once there is one. With
+    `buckets`, `name` is a view of a table of hash buckets, which only `sinks/buckets.py` writes.
     """
 
     name: str
@@ -32,6 +33,12 @@ class LayerTable:
     partition_by: tuple[str, ...] = ()
     manifest: bool = False
     indexed: tuple[str, ...] = ()
+    buckets: int = 0
+
+    @property
+    def stored(self) -> str:
+        """The table that holds the rows and the properties."""
+        return f"{self.name}_parts" if self.buckets else self.name
 
 
 def create_database(spark: SparkSession, database: str) -> None:
@@ -40,14 +47,19 @@ def create_database(spark: SparkSession, database: str) -> None:
 
 def create_table(spark: SparkSession, table: LayerTable, location: str) -> None:
     """Register the files below `location`, partitions included."""
+    define_table(spark, table, location)
+    if table.partition_by:
+        repair(spark, table)
+
+
+def define_table(spark: SparkSession, table: LayerTable, location: str) -> None:
+    """Register a table, as yet without partitions if it has any."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
     partitioned = f"PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.name} ({columns}) USING parquet {partitioned} "
         f"LOCATION '{location}'"
     )
-    if table.partition_by:
-        repair(spark, table)
 
 
 def repair(spark: SparkSession, table: LayerTable) -> None:
@@ -126,9 +138,9 @@ def in_partitions(table: LayerTable, partitions: list[Partition]) -> Column:
 
 
 def property_of(spark: SparkSession, table: LayerTable, name: str) -> str | None:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table.name}").collect()
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table.stored}").collect()
     return next((row.value for row in rows if row.key == name), None)
 
 
 def set_property(spark: SparkSession, table: LayerTable, name: str, value: str) -> None:
-    spark.sql(f"ALTER TABLE {table.name} SET TBLPROPERTIES ('{name}' = '{value}')")
+    spark.sql(f"ALTER TABLE {table.stored} SET TBLPROPERTIES ('{name}' = '{value}')")

@@ -260,6 +260,11 @@ def oracles() -> dict[str, str]:
             *_SILVER_PARTS, _KEYED, _EARLY, _LATE, _sales("target", "early"), _sales("source", "late"),
             then=_listed(_SALES_COLUMNS, "order_id"),
         ),
+        "merge_customer_table": _with(
+            *_CUSTOMER_PARTS, _CUSTOMER_TARGET,
+            "source AS (SELECT * FROM gold_customer WHERE ends_with(customer_id, '7'))",
+            then=_listed(_CUSTOMER_COLUMNS, "customer_id"),
+        ),
         "run_counts": _with(
             *_SILVER_PARTS, _KEYED, _customers("gold_customer", "keyed"),
             then="SELECT 'bronze' AS layer, count(*) AS n FROM bronze "

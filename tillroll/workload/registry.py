@@ -146,6 +146,7 @@ def queries() -> dict[str, Query]:
         "trigger_malformed": _trigger_malformed,
         "merge_silver_table": stored.merge_silver_table,
         "merge_sales_table": stored.merge_sales_table,
+        "merge_customer_table": stored.merge_customer_table,
         "event_run": stored.event_run,
         "run_counts": stored.run_counts,
         "layered_silver": stored.layered_silver,

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.cleaning import landing_date
-from tillroll.layers import DAY_COLUMNS, INGEST_ID, SILVER_KEY, SOURCE_FILE
+from tillroll.layers import CUSTOMER_KEY, DAY_COLUMNS, INGEST_ID, SILVER_KEY, SOURCE_FILE
 from tillroll.plans.bronze import bronze_slice
+from tillroll.plans.customers import customers
 from tillroll.plans.run import LandingFile, Layers, Report, run_files
 from tillroll.plans.sales import sales
 from tillroll.session import scratch_path
@@ -123,6 +124,21 @@ def merge_sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_listing(spark, _published_late(spark, target, late, _new_layers(spark).sales))
 
 
+def merge_customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored customer table after some customers' later orders, with its buckets dealt anew on the way."""
+    rows, _ = stage(spark, inputs.silver(spark, sf_dir).filter(F.col("customer_id").isNotNull()), "silver")
+    table = _new_layers(spark).customers
+    merge_into(spark, table, customers(rows.filter(F.col("order_date") < "1999-01-01"), inputs.ANCHOR))
+    late = customers(rows, inputs.ANCHOR).filter(F.col("customer_id").endswith("7"))
+    merge_into(spark, table, late.filter(F.col("customer_id").endswith("17")))
+    fewer = replace(table, buckets=16)
+    merge_into(spark, fewer, late.filter(~F.col("customer_id").endswith("17")))
+    held = spark.table(fewer.stored).select(CUSTOMER_KEY, F.col("_metadata.file_path").alias("file_path"))
+    listed = held.join(read_manifest(spark, fewer).distinct(), "file_path", "left_semi")
+    shown = listed.select(CUSTOMER_KEY, F.lit(True).alias("listed"))
+    return spark.table(fewer.name).join(shown, CUSTOMER_KEY, "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+
+
 def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored raw layer after two files, of which the first lacks a column."""
     bronze = _new_layers(spark).bronze
