@@ -346,6 +346,31 @@ def test_keys_of_every_alphabet_are_found(name, n, share):
         assert found >= share * 200
 
 
+def test_the_battery_decides_on_border_strings(monkeypatch):
+    rng = random.Random(12)
+    keys = ["".join(rng.choice(secrets.ALPHABETS["lower letters"]) for _ in range(20)) for _ in range(3000)]
+    weights = {key: secrets.battery(key, "lower letters") for key in keys}
+    found = {key for key in keys if secrets.discoveries([key])}
+    # The same without the p-values, the veto left as it is.
+    monkeypatch.setattr(secrets, "battery", lambda string, _: min(0.0, weights[string]) if weights[string] == -math.inf else 0.0)
+    plain = {key for key in keys if secrets.discoveries([key])}
+    assert found - plain and plain - found
+    assert all(weights[key] > 0 for key in found - plain)
+    assert all(-math.inf < weights[key] < 0 for key in plain - found)
+
+
+@pytest.mark.parametrize("chances", [(0.5, 0.2, 0.1), (1.0, 1.0, 1.0), (0.001, 0.9, 0.4)])
+def test_the_battery_combines_its_chances(monkeypatch, chances):
+    for name, chance in zip(("_uniformity", "_runs", "_serial"), chances, strict=True):
+        monkeypatch.setattr(secrets, name, lambda *_, chance=chance: chance)
+    # The chance that three even numbers have a product this small, by integration.
+    level, steps = math.prod(chances), (np.arange(2000) + 0.5) / 2000
+    inner = np.minimum(1, level / np.outer(steps, steps))
+    assert secrets.battery("a" * 20, "hex") == pytest.approx(math.log(2 * math.sqrt(inner.mean())), abs=1e-3)
+    monkeypatch.setattr(secrets, "_serial", lambda *_: 0.0)
+    assert secrets.battery("a" * 20, "hex") == -math.inf
+
+
 def test_letters_are_learned_from_all_documents(spark):
     word = "qwzxjkvpbgyfumlhdcrsniaote"
     parts = [(f"{word[:14]} {word[10:]} " * 50,)] * 20

@@ -3,16 +3,19 @@
 Runs of TOKEN characters are cut at the patterns' matches and at `=` (what pads a run's end stays).
 Of what is left, the stretch between signs that is the likeliest to be random, in any of ALPHABETS,
 is a string, and the parts before and after it are searched alike; its encoding is the narrowest
-alphabet that holds it. A string passes the battery if none of three tests rejects that its
-characters are drawn evenly from that alphabet: chi-squared uniformity, runs above and below the
-middle of the alphabet, and serial correlation of neighbours (P_RANDOM, shared among the three).
-Short strings pass such tests whatever they are. So a string's evidence is how much likelier even
-draws from its alphabet make it than text does, and none if the battery rejects it. Text changes
+alphabet that holds it. The battery tests that its characters are drawn evenly from that alphabet:
+chi-squared uniformity, runs above and below the middle of the alphabet, and serial correlation of
+neighbours. The three p-values combine into one (Fisher), p, which is even for even draws and is
+taken to crowd at 0 for text, with density CROWDED * p ** (CROWDED - 1); the ratio of the two is the
+battery's evidence. A test that rejects by itself (P_RANDOM, shared among the three) leaves none.
+Short strings pass such tests whatever they are. So the battery's evidence is multiplied by how much
+likelier even draws from the alphabet make the string than text does. Text changes
 between lower case, upper case, digits and signs at the rate TEXT_CHANGES and draws letters after
 the letter before, by counts over all documents or by a fixed table, whichever makes the string
-likelier. That ratio is an e-value, so among the strings of a text it goes through false-discovery control (Benjamini-Hochberg
-for e-values at FALSE_DISCOVERIES, each weighted by its share of the tested length). What passes
-is a `random` span.
+likelier. The product is taken for an e-value (the tests look at places in the alphabet, the text
+model at letters in words), so the strings of a text go through false-discovery control with it
+(Benjamini-Hochberg for e-values at FALSE_DISCOVERIES, each weighted by its share of the tested
+length). What passes is a `random` span.
 
 Scale: one pass that counts letter pairs (729 numbers per task) and a projection without a shuffle;
 memory follows the longest text. Patterns run only over texts that can hold them, which never
@@ -57,6 +60,7 @@ ASSIGNED = 6
 KEYWORDS = ("password", "passwd", "secret", "token", "api")
 
 P_RANDOM = 0.001
+CROWDED = 0.5
 FALSE_DISCOVERIES = 0.01
 # How often neighbouring characters of identifiers, words and paths change their class.
 TEXT_CHANGES = 0.15
@@ -129,11 +133,18 @@ def _serial(places: list[int]) -> float:
     return 2 * _tail(abs(correlation + 1 / n) * math.sqrt(n))
 
 
-def looks_random(string: str, encoding: str) -> bool:
+def battery(string: str, encoding: str) -> float:
+    """Log of how much likelier even draws than text make the three tests together; none if one rejects."""
     ranks = _RANKS[encoding]
     places = [ranks[letter] for letter in string]
     k = len(ranks)
-    return min(_uniformity(places, k), _runs(places, k), _serial(places)) >= P_RANDOM / 3
+    chances = _uniformity(places, k), _runs(places, k), _serial(places)
+    if min(chances) < P_RANDOM / 3:
+        return -math.inf
+    # Fisher: the upper tail of chi-squared with six degrees of freedom, at twice `lost`.
+    lost = -sum(math.log(chance) for chance in chances)
+    combined = math.log(1 + lost + lost * lost / 2) - lost
+    return (1 - CROWDED) * combined - math.log(CROWDED)
 
 
 def _class(letter: str) -> int:
@@ -185,11 +196,12 @@ def text_logs(string: str, logs: list[list[float]]) -> list[float]:
 
 def evidence(string: str, encoding: str, logs: list[list[float]]) -> float:
     """Log of how much likelier even draws are than text; one alphabet in all was to be guessed."""
-    if not looks_random(string, encoding):
-        return -math.inf
+    tested = battery(string, encoding)
+    if tested == -math.inf:
+        return tested
     even = -len(string) * math.log(len(ALPHABETS[encoding])) - math.log(len(ALPHABETS))
     # The fixed table also counts, for words of languages that are rare in the documents.
-    return even - max(sum(text_logs(string, taught)) for taught in (logs, UNTAUGHT))
+    return tested + even - max(sum(text_logs(string, taught)) for taught in (logs, UNTAUGHT))
 
 
 def _stretch(
