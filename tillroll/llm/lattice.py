@@ -133,8 +133,8 @@ class _Group:
         self.node, self.copies, self.own = (batch.column(name).to_numpy() for name in ("node", "n", "own"))
         self.unit = _unit(_matrix(batch.column("vector")))
         self.cells = batch.column("cells").flatten().to_numpy().reshape(len(self.node), -1)
-        first = batch.slice(0, 1).to_pylist()[0]
-        self.cell, self.within = first["cell"], first["i"] == first["j"]
+        self.cell = batch.column("cell")[0].as_py()
+        self.within = batch.column("i")[0].as_py() == batch.column("j")[0].as_py()
         self.near = self.unit @ self.unit.T >= threshold
         np.fill_diagonal(self.near, False)
         if not self.within:
@@ -194,19 +194,24 @@ class _Group:
 
 
 def _compare(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Link counts and roots from rows sorted by group; a group may go on in the next batch."""
+    """Link counts and roots from rows sorted by group; a group may go on in the next batch.
+
+    Most cells hold no near pair: nothing comes of them.
+    """
     rest: list[pa.RecordBatch] = []
 
-    def found(group: pa.RecordBatch) -> pa.RecordBatch:
+    def found(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own = _Group(group, threshold)
-        return pa.RecordBatch.from_arrays(
+        if not own.near.any():
+            return
+        yield pa.RecordBatch.from_arrays(
             [group.column("node"), pa.array(own.counts()), pa.array(own.roots())], names=["node", "links", "root"]
         )
 
-    def ended() -> pa.RecordBatch:
-        table = pa.Table.from_batches(rest).combine_chunks()
+    def ended() -> Iterator[pa.RecordBatch]:
+        whole = rest[0] if len(rest) == 1 else pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
         rest.clear()
-        return found(table.to_batches()[0])
+        return found(whole)
 
     for batch in batches:
         if not batch.num_rows:
@@ -220,10 +225,10 @@ def _compare(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa
             if rest and any(
                 rest[0].column(name)[0] != part.column(name)[0] for name in ("label", "length", "cell", "i", "j")
             ):
-                yield ended()
+                yield from ended()
             rest.append(part)
     if rest:
-        yield ended()
+        yield from ended()
 
 
 def _usable(vector: Column, label: Column) -> Column:
