@@ -44,6 +44,7 @@ class Layers:
 
     Once the raw layer has `settle_at` slices, a run moves them into its day partitions. Customers lie
     in `customer_buckets` hash buckets, some GB each at most; with another number they are dealt anew.
+    Days of silver and sales are cut into ranges of about `range_rows` rows, the unit of rewriting.
     """
 
     root: str
@@ -51,6 +52,7 @@ class Layers:
     anchor: date = LATEST_DAY
     settle_at: int = 200
     customer_buckets: int = 64
+    range_rows: int = 4_000_000
 
     @property
     def bronze(self) -> SliceTable:
@@ -72,11 +74,12 @@ class Layers:
     @property
     def silver(self) -> LayerTable:
         table = self._table("silver_orders", "silver/orders", SILVER, SILVER_KEY, DAY_COLUMNS)
-        return replace(table, indexed=(SALES_KEY, CUSTOMER_KEY))
+        return replace(table, indexed=(SALES_KEY, CUSTOMER_KEY), range_rows=self.range_rows)
 
     @property
     def sales(self) -> LayerTable:
-        return self._table("gold_sales", "gold/sales", GOLD_SALES, SALES_KEY, DAY_COLUMNS, True)
+        table = self._table("gold_sales", "gold/sales", GOLD_SALES, SALES_KEY, DAY_COLUMNS, True)
+        return replace(table, range_rows=self.range_rows)
 
     @property
     def customers(self) -> LayerTable:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+RANGE = "_range"
+
 # Fixed value: the folder name that stands for a NULL partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -23,7 +25,8 @@ class LayerTable:
 
     With `manifest`, every write keeps the file lists for external readers in step. For each column in
     `indexed`, every merge keeps the index of the days that its values lie in, once there is one. With
-    `buckets`, `name` is a view of a table of hash buckets, which only `sinks/buckets.py` writes.
+    `buckets`, `name` is a view of a table of hash buckets, which only `sinks/buckets.py` writes. With
+    `range_rows`, `name` is a view of a table whose partitions are cut into ranges of about that many rows.
     """
 
     name: str
@@ -34,12 +37,26 @@ class LayerTable:
     manifest: bool = False
     indexed: tuple[str, ...] = ()
     buckets: int = 0
+    range_rows: int = 0
 
     @property
     def stored(self) -> str:
         """The table that holds the rows and the properties."""
+        if self.range_rows:
+            database, _, name = self.name.rpartition(".")
+            return f"{database}.ranges_of_{name}" if database else f"ranges_of_{name}"
         return f"{self.name}_parts" if self.buckets else self.name
 
+    @property
+    def placed_by(self) -> tuple[str, ...]:
+        """The partition columns of `stored`; those that readers see come first."""
+        return (*self.partition_by, RANGE) if self.range_rows else self.partition_by
+
+    @property
+    def stored_schema(self) -> T.StructType:
+        fields = [T.StructField(RANGE, T.IntegerType())] if self.range_rows else []
+        return T.StructType([*self.schema.fields, *fields])
+
 
 def create_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -52,24 +69,35 @@ def create_table(spark: SparkSession, table: LayerTable, location: str) -> None:
         repair(spark, table)
 
 
+def is_view(spark: SparkSession, table: LayerTable) -> bool:
+    return spark.catalog.tableExists(table.name) and spark.catalog.getTable(table.name).tableType == "VIEW"
+
+
+def partitions_of(spark: SparkSession, table: LayerTable) -> list[Partition]:
+    """Every partition that the catalog knows."""
+    specs = spark.sql(f"SHOW PARTITIONS {table.stored}").collect()
+    values = [[part.partition("=")[2] for part in row[0].split("/")] for row in specs]
+    return [tuple(None if one in (NULL_PARTITION, "null") else int(one) for one in spec) for spec in values]
+
+
 def define_table(spark: SparkSession, table: LayerTable, location: str) -> None:
     """Register a table, as yet without partitions if it has any."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-    partitioned = f"PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.stored_schema)
+    partitioned = f"PARTITIONED BY ({', '.join(table.placed_by)})" if table.placed_by else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table.name} ({columns}) USING parquet {partitioned} "
+        f"CREATE TABLE IF NOT EXISTS {table.stored} ({columns}) USING parquet {partitioned} "
         f"LOCATION '{location}'"
     )
 
 
 def repair(spark: SparkSession, table: LayerTable) -> None:
     """Make the partitions that lie in the table's folder visible; drop those whose files are gone."""
-    spark.sql(f"MSCK REPAIR TABLE {table.name} SYNC PARTITIONS")
+    spark.sql(f"MSCK REPAIR TABLE {table.stored} SYNC PARTITIONS")
 
 
 def point_table(spark: SparkSession, table: LayerTable, location: str) -> None:
-    spark.sql(f"ALTER TABLE {table.name} SET LOCATION '{location}'")
-    spark.catalog.refreshTable(table.name)
+    spark.sql(f"ALTER TABLE {table.stored} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table.stored)
 
 
 def point_partitions(
@@ -82,56 +110,57 @@ def point_partitions(
 
     def point(values: Partition) -> None:
         spec = _spec(table, values)
-        spark.sql(f"ALTER TABLE {table.name} PARTITION ({spec}) SET LOCATION '{partitions[values]}'")
+        spark.sql(f"ALTER TABLE {table.stored} PARTITION ({spec}) SET LOCATION '{partitions[values]}'")
 
     with ThreadPoolExecutor(CALLS_AT_ONCE) as calls:
         list(calls.map(point, partitions))
-    spark.catalog.refreshTable(table.name)
+    spark.catalog.refreshTable(table.stored)
 
 
 def add_partitions(spark: SparkSession, table: LayerTable, partitions: dict[Partition, str]) -> None:
     """Let the table read new partitions, in one catalog call."""
     if partitions:
         specs = " ".join(f"PARTITION ({_spec(table, values)}) LOCATION '{folder}'" for values, folder in partitions.items())
-        spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {specs}")
-        spark.catalog.refreshTable(table.name)
+        spark.sql(f"ALTER TABLE {table.stored} ADD IF NOT EXISTS {specs}")
+        spark.catalog.refreshTable(table.stored)
 
 
 def drop_partitions(spark: SparkSession, table: LayerTable, partitions: list[Partition]) -> None:
     """Forget partitions, in one catalog call; their files stay."""
     specs = ", ".join(f"PARTITION ({_spec(table, values)})" for values in partitions)
-    spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS {specs}")
-    spark.catalog.refreshTable(table.name)
+    spark.sql(f"ALTER TABLE {table.stored} DROP IF EXISTS {specs}")
+    spark.catalog.refreshTable(table.stored)
 
 
 def _spec(table: LayerTable, values: Partition) -> str:
     return ", ".join(
         f"{name}={'null' if value is None else value}"
-        for name, value in zip(table.partition_by, values)
+        for name, value in zip(table.placed_by, values)
     )
 
 
 def partition_folder(table: LayerTable, values: Partition) -> str:
     return "/".join(
         f"{name}={NULL_PARTITION if value is None else value}"
-        for name, value in zip(table.partition_by, values)
+        for name, value in zip(table.placed_by, values)
     )
 
 
 def in_partitions(table: LayerTable, partitions: list[Partition]) -> Column:
     """A condition on the partition columns alone, so that it prunes the scan. NULL equals NULL.
 
-    The plain condition per column is what a metastore can evaluate; the exact one follows.
+    Partitions may leave out the range; they then stand for all of theirs. The plain condition per column is what a metastore can evaluate; the exact one follows.
     """
+    names = table.placed_by[: len(partitions[0])]
     folder = F.concat_ws(
         "/",
         *(
             F.concat(F.lit(f"{name}="), F.coalesce(F.col(name).cast("string"), F.lit(NULL_PARTITION)))
-            for name in table.partition_by
+            for name in names
         ),
     )
     exact = folder.isin([partition_folder(table, values) for values in partitions])
-    for name, values in zip(table.partition_by, zip(*partitions, strict=True), strict=False):
+    for name, values in zip(names, zip(*partitions, strict=True), strict=True):
         if None not in values:
             exact = F.col(name).isin(sorted(set(values))) & exact
     return exact

@@ -10,20 +10,31 @@ from pyspark.sql import functions as F
 from tillroll.session import scratch_path
 
 
-def clustered(frame: DataFrame, partition_by: tuple[str, ...], sort_by: str | None) -> DataFrame:
+def clustered(
+    frame: DataFrame,
+    partition_by: tuple[str, ...],
+    sort_by: str | None,
+    numbered: str | None = None,
+    at_least: int = 0,
+) -> DataFrame:
     """Each task writes a stretch of the order (partition values, key), so a day has few files.
 
     The stretches hold equally many rows: small days share a task, and a hot one is split by key
     over several, each with bounds of its own for later upserts to skip by. The stretches are as
     many as the session's shuffle partitions, or cores if there are more: by size alone, one task
-    would create thousands of tiny day folders, whose cost is their creation.
+    would create thousands of tiny day folders, whose cost is their creation. The column `numbered`,
+    if asked for, gets the number of a row's stretch; there are `at_least` so many stretches.
     """
     order = [*partition_by, *([sort_by] if sort_by else [])]
     if not order:
         return frame
     spark = frame.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return frame.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, at_least)
+    dealt = frame.repartitionByRange(tasks, *order)
+    if numbered:
+        dealt = dealt.withColumn(numbered, F.spark_partition_id())
+        order.insert(len(partition_by), numbered)
+    return dealt.sortWithinPartitions(*order)
 
 
 def write_counted(
@@ -31,15 +42,20 @@ def write_counted(
     path: str,
     partition_by: tuple[str, ...] = (),
     sort_by: str | None = None,
+    numbered: str | None = None,
+    at_least: int = 0,
     **measures: Column,
 ) -> dict[str, Any]:
-    """Write Parquet; return `rows` and the measures, taken in the very pass that writes."""
+    """Write Parquet; return `rows` and the measures, taken in the very pass that writes.
+
+    With `numbered`, each stretch of a partition goes to a folder of its own, named by that column.
+    """
     named = [column.alias(name) for name, column in measures.items()]
     seen = Observation()
-    counted = clustered(frame, partition_by, sort_by).observe(
+    counted = clustered(frame, partition_by, sort_by, numbered, at_least).observe(
         seen, F.count(F.lit(1)).alias("rows"), *named
     )
-    counted.write.mode("overwrite").parquet(path, partitionBy=list(partition_by))
+    counted.write.mode("overwrite").parquet(path, partitionBy=[*partition_by, *([numbered] if numbered else [])])
     return seen.get
 
 

@@ -104,7 +104,7 @@ def _with_listing(spark: SparkSession, table: LayerTable) -> DataFrame:
     """The table's rows, each with whether the manifest lists its file under its partition."""
     place = F.struct("file_path", *(F.col(name).cast("int").alias(name) for name in DAY_COLUMNS))
     listed = read_manifest(spark, table).select(place.alias("place")).distinct()
-    rows = spark.table(table.name).select("*", F.col("_metadata.file_path").alias("file_path"))
+    rows = spark.table(table.stored).select(*table.schema.names, F.col("_metadata.file_path").alias("file_path"))
     # Structs compare their NULL fields as equal, so undated rows find their list too.
     joined = rows.withColumn("place", place).join(listed.withColumn("listed", F.lit(True)), "place", "left")
     return joined.select(*table.schema.names, F.coalesce("listed", F.lit(False)).alias("listed"))
