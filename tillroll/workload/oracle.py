@@ -196,6 +196,15 @@ late AS (
 )"""
 
 
+def _crowded(rows: str) -> str:
+    """The rows in one partition per year, and every third one in that of the undated rows."""
+    dated = "row_id % 3 <> 0 AND year IS NOT NULL"
+    return (
+        f"SELECT * REPLACE (CASE WHEN {dated} THEN year END AS year, CASE WHEN {dated} THEN 1 END AS month, "
+        f"CASE WHEN {dated} THEN 1 END AS day) FROM {rows}"
+    )
+
+
 def _listed(columns: list[str], key: str) -> str:
     """The upsert, and that the manifest lists the file of every row."""
     return f"SELECT *, true AS listed FROM ({_merged(columns, key)})"
@@ -256,6 +265,11 @@ def oracles() -> dict[str, str]:
             "target AS (SELECT * FROM early)", "source AS (SELECT * FROM late)",
             then=_listed(SILVER_COLUMNS, "row_id"),
         ),
+        "merge_ranges_table": _with(
+            *_SILVER_PARTS, _KEYED, _EARLY, _LATE,
+            f"target AS ({_crowded('early')})", f"source AS ({_crowded('late')})",
+            then=_listed(SILVER_COLUMNS, "row_id"),
+        ),
         "merge_sales_table": _with(
             *_SILVER_PARTS, _KEYED, _EARLY, _LATE, _sales("target", "early"), _sales("source", "late"),
             then=_listed(_SALES_COLUMNS, "order_id"),

@@ -145,6 +145,7 @@ def queries() -> dict[str, Query]:
         "trigger_count": _trigger_count,
         "trigger_malformed": _trigger_malformed,
         "merge_silver_table": stored.merge_silver_table,
+        "merge_ranges_table": stored.merge_ranges_table,
         "merge_sales_table": stored.merge_sales_table,
         "merge_customer_table": stored.merge_customer_table,
         "event_run": stored.event_run,

@@ -117,6 +117,14 @@ def merge_silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_listing(spark, _published_late(spark, inputs.early(rows), inputs.late(rows), table))
 
 
+def merge_ranges_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored silver table after late rows, where few partitions hold all rows and the undated one a third."""
+    rows = inputs.silver(spark, sf_dir).filter(F.col(SILVER_KEY).isNotNull())
+    table = replace(_new_layers(spark).silver, manifest=True, range_rows=2000)
+    target, late = inputs.crowded(inputs.early(rows)), inputs.crowded(inputs.late(rows))
+    return _with_listing(spark, _published_late(spark, target, late, table))
+
+
 def merge_sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored order fact after the orders of the late rows were merged."""
     rows = inputs.silver(spark, sf_dir).filter(F.col(SILVER_KEY).isNotNull())
