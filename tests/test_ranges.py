@@ -139,6 +139,20 @@ def test_a_replay_changes_nothing(spark, table):
     assert len(partitions_of(spark, table)) == places
 
 
+@pytest.mark.parametrize("step", ["write_manifest", "point_partitions", "point_table", "drop_partitions", "_append"])
+def test_a_lost_merge_is_completed_by_a_repeat(spark, table, step, monkeypatch):
+    merge_into(spark, table, orders(spark, ALL))
+    # Rows 0 to 299 leave their ranges, of which some empty; others change in place or are new.
+    late = orders(spark, range(300), city="Bonn", day=4).union(orders(spark, [1500, 1501, 7000, 7001], city="Oslo"))
+    with monkeypatch.context() as patch:
+        patch.setattr(f"tillroll.sinks.merge.{step}", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            merge_into(spark, table, late)
+    merge_into(spark, table, late)
+    moved = {f"O{n:06d}": ("Bonn", 4) for n in range(300)}
+    check(spark, table, {**plain(ALL), **moved, **plain([1500, 1501, 7000, 7001], "Oslo")})
+
+
 @pytest.mark.parametrize("step", ["write_first", "define_table", "repair", "set_property", "show"])
 def test_a_lost_first_write_leaves_nothing_behind(spark, table, step, monkeypatch):
     with monkeypatch.context() as patch:
