@@ -35,7 +35,11 @@ def write_slices(
     version = f"{table.path}/v-{uuid4().hex}"
     seen = Observation()
     observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    observed.write.partitionBy(INGEST_ID).parquet(version)
+    if len(ids) == 1:
+        # Into the one folder as they come: by partition, each task would sort its rows first.
+        observed.drop(INGEST_ID).write.parquet(f"{version}/{INGEST_ID}={ids[0]}")
+    else:
+        observed.write.partitionBy(INGEST_ID).parquet(version)
     add_columns(spark, table, rows.drop(INGEST_ID).schema)
     if len(ids) == 1:
         counts = {ids[0]: seen.get["rows"]}
@@ -48,7 +52,8 @@ def write_slices(
     empty = [one for one in ids if not counts.get(one)]
     kept = [one for one in empty if one in keep]
     for one in kept:
-        spark.createDataFrame([], rows.drop(INGEST_ID).schema).write.parquet(f"{version}/{INGEST_ID}={one}")
+        nothing = spark.createDataFrame([], rows.drop(INGEST_ID).schema)
+        nothing.write.mode("overwrite").parquet(f"{version}/{INGEST_ID}={one}")
     _point(spark, table, {one: f"{version}/{INGEST_ID}={one}" for one in [*filled, *kept]})
     drop_slices(spark, table, [one for one in empty if one not in keep])
     spark.catalog.refreshTable(table.name)

@@ -40,13 +40,22 @@ def _write_csv(rows: DataFrame, path: str) -> str:
     return path
 
 
+def _landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing rows as stored files, so that they are derived once for all that reads them."""
+    return stage(spark, inputs.landing(spark, sf_dir), "landing")[0]
+
+
+def _keyed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver rows with a key, stored likewise."""
+    return stage(spark, inputs.silver(spark, sf_dir).filter(F.col(SILVER_KEY).isNotNull()), "silver")[0]
+
+
 def _write_landing_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
     """Key -> folder of its CSV text, for the two landing files.
 
     Each part covers its own stretch of days, as files that land one after the other do.
     """
-    rows = inputs.landing(spark, sf_dir)
-    rows = rows.repartitionByRange(landing_date(F.col("order_date")), "row_id")
+    rows = _landing(spark, sf_dir).repartitionByRange(landing_date(F.col("order_date")), "row_id")
     return {
         key: _write_csv(bronze_slice(rows, key).drop(SOURCE_FILE), f"{folder}/{key}")
         for key in (inputs.FIRST_FILE, inputs.SECOND_FILE)
@@ -105,21 +114,22 @@ def _with_listing(spark: SparkSession, table: LayerTable) -> DataFrame:
     place = F.struct("file_path", *(F.col(name).cast("int").alias(name) for name in DAY_COLUMNS))
     listed = read_manifest(spark, table).select(place.alias("place")).distinct()
     rows = spark.table(table.stored).select(*table.schema.names, F.col("_metadata.file_path").alias("file_path"))
-    # Structs compare their NULL fields as equal, so undated rows find their list too.
-    joined = rows.withColumn("place", place).join(listed.withColumn("listed", F.lit(True)), "place", "left")
+    # Structs compare their NULL fields as equal, so undated rows find their list too. One row per file,
+    # which the driver lists anyway: by size, all rows of the table might be shuffled by their file.
+    joined = rows.withColumn("place", place).join(F.broadcast(listed.withColumn("listed", F.lit(True))), "place", "left")
     return joined.select(*table.schema.names, F.coalesce("listed", F.lit(False)).alias("listed"))
 
 
 def merge_silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored silver table after late rows: they move days, empty one, blank a city, meet undated rows."""
-    rows = inputs.silver(spark, sf_dir).filter(F.col(SILVER_KEY).isNotNull())
+    rows = _keyed_silver(spark, sf_dir)
     table = replace(_new_layers(spark).silver, manifest=True)
     return _with_listing(spark, _published_late(spark, inputs.early(rows), inputs.late(rows), table))
 
 
 def merge_ranges_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored silver table after late rows, where few partitions hold all rows and the undated one a third."""
-    rows = inputs.silver(spark, sf_dir).filter(F.col(SILVER_KEY).isNotNull())
+    rows = _keyed_silver(spark, sf_dir)
     table = replace(_new_layers(spark).silver, manifest=True, range_rows=2000)
     target, late = inputs.crowded(inputs.early(rows)), inputs.crowded(inputs.late(rows))
     return _with_listing(spark, _published_late(spark, target, late, table))
@@ -127,7 +137,7 @@ def merge_ranges_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored order fact after the orders of the late rows were merged."""
-    rows = inputs.silver(spark, sf_dir).filter(F.col(SILVER_KEY).isNotNull())
+    rows = _keyed_silver(spark, sf_dir)
     target, late = sales(inputs.early(rows)), sales(inputs.late(rows))
     return _with_listing(spark, _published_late(spark, target, late, _new_layers(spark).sales))
 
@@ -150,7 +160,7 @@ def merge_customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored raw layer after two files, of which the first lacks a column."""
     bronze = _new_layers(spark).bronze
-    rows = inputs.landing(spark, sf_dir)
+    rows = _landing(spark, sf_dir)
     first = bronze_slice(rows, inputs.FIRST_FILE).drop("city")
     _write_slice(spark, bronze, inputs.FIRST_FILE, first)
     _write_slice(spark, bronze, inputs.SECOND_FILE, bronze_slice(rows, inputs.SECOND_FILE))
@@ -206,7 +216,7 @@ def _streamed(spark: SparkSession, sf_dir: str) -> Layers:
 def event_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer table after notifications started the runs: copies, damaged bodies, a file that came half and then whole."""
     folder, layers = scratch_path(spark, "events"), _new_layers(spark)
-    rows = inputs.landing(spark, sf_dir)
+    rows = _landing(spark, sf_dir)
     second = bronze_slice(rows, inputs.SECOND_FILE).drop(SOURCE_FILE)
     first = _write_csv(bronze_slice(rows, inputs.FIRST_FILE).drop(SOURCE_FILE), f"{folder}/{BUCKET}/{inputs.FIRST_FILE}")
     half = _write_csv(second.filter(F.col("customer_id").endswith("1")), f"{folder}/{BUCKET}/half.csv")
