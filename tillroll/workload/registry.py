@@ -70,7 +70,7 @@ def _gold_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _upsert_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.silver(spark, sf_dir)
+    rows, _ = stage(spark, inputs.silver(spark, sf_dir), "silver")
     day = F.col("order_date")
     earlier = rows.filter((day < "2000-01-01") | day.isNull())
     return _upserted(spark, sales(earlier), sales(rows), SALES_KEY)
