@@ -90,8 +90,11 @@ def listed_files(spark: SparkSession, uris: list[str]) -> dict[str, list[str]]:
         return {uri: sorted(map(same_path, paths)) for uri, paths in zip(uris, listed)}
 
 
-def header_lines(spark: SparkSession, uris: list[str]) -> dict[str, str]:
-    """The first line with text of each file, by its path: one scan of all, whatever their number."""
+def header_lines(spark: SparkSession, uris: list[str], files: list[str]) -> dict[str, str]:
+    """The first line with text of each of the files below the URIs, by its path: one scan, whatever their number.
+
+    The condition on a file's name is one that the listing answers, so no other file is opened.
+    """
     meta = F.col("_metadata")
     lines = spark.read.text([literal_path(uri) for uri in uris]).select(
         "value",
@@ -99,7 +102,8 @@ def header_lines(spark: SparkSession, uris: list[str]) -> dict[str, str]:
         meta["file_block_start"].alias("start"),
         F.monotonically_increasing_id().alias("place"),
     )
-    first = lines.filter((F.col("start") == 0) & (F.trim("value") != "")).groupBy("path")
+    wanted = F.regexp_replace("path", "^file:/+", "file:/").isin(files)
+    first = lines.filter(wanted & (F.col("start") == 0) & (F.trim("value") != "")).groupBy("path")
     return {same_path(path): line for path, line in first.agg(F.min_by("value", "place")).collect()}
 
 
@@ -111,7 +115,12 @@ def scan_files(spark: SparkSession, files: list[tuple[str, str, str]]) -> list[D
     """
     uris = list(dict.fromkeys(uri for uri, _, _ in files))
     paths = listed_files(spark, uris)
-    lines = header_lines(spark, uris) if uris else {}
+    # A folder's parts have one header, which its first part shows unless that is blank.
+    lines, blank = {}, uris
+    for part in (slice(1), slice(1, None)):
+        parts = [path for uri in blank for path in paths[uri][part]]
+        lines |= header_lines(spark, blank, parts) if parts else {}
+        blank = [uri for uri in uris if not any(path in lines for path in paths[uri])]
     alike = defaultdict(list)
     for uri in uris:
         alike[next((lines[path] for path in paths[uri] if path in lines), None)].append(uri)
