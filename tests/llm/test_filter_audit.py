@@ -9,6 +9,7 @@ from itertools import permutations
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -122,6 +123,22 @@ def test_matrix_holds_every_word_of_every_row(spark, folder, monkeypatch, limit)
     assert totals == sorted(((doc, len(w := WORD.findall(text or "")), len(set(w))) for doc, text, _ in texts()), key=repr)
 
 
+def test_a_bucket_is_numbered_with_one_row_per_task():
+    held = [(7, 0, b"b"), (2, 5, b"a"), (7, 3, b"a"), (7, 1, b"\xff"), (2, 2, b"c"), (7, 2, b"")]
+    tasks, slots, words = map(list, zip(*held, strict=True))
+    columns = {"task": pa.array(tasks, pa.int32()), "slot": pa.array(slots, pa.int32()), "word": pa.array(words, pa.binary())}
+    bucket = pa.table(columns | {"bucket": pa.array([3] * len(held), pa.int32())})
+    terms = {row["word"]: row["term"] for row in term_matrix._speller(10)(bucket).to_pylist()}
+    assert terms == {b"": 3, b"a": 13, b"b": 23, b"c": 33, b"\xff": 43}
+    rows = term_matrix._numberer(10)(bucket).to_pylist()
+    assert [row["task"] for row in rows] == [2, 7]
+    for row in rows:
+        found = dict(zip(np.frombuffer(row["slots"], np.int32).tolist(), np.frombuffer(row["terms"], np.int64).tolist(), strict=True))
+        assert found == {slot: terms[word] for task, slot, word in held if task == row["task"]}
+    numbers = term_matrix._scattered(pa.table({"task": [7, 7], "slots": [np.array([1, 2], np.int32).tobytes(), np.array([0], np.int32).tobytes()], "terms": [np.array([5, 6]).tobytes(), np.array([4]).tobytes()]}))
+    assert np.frombuffer(numbers["numbers"][0].as_py(), np.int64).tolist() == [4, 5, 6]
+
+
 @given(st.lists(st.integers(-(2**62), 2**62)))
 def test_packed_numbers_come_back(numbers):
     assert term_matrix.unpacked(term_matrix.packed(np.array(numbers, np.int64))).tolist() == numbers

@@ -5,10 +5,12 @@ row begins, and where the last one ends), `terms` (column numbers) and `counts`,
 numbers that `unpacked` reads. Words are encoded in two steps. Each task numbers
 its distinct words in order of appearance; then only those, not the text's words, are ranked in
 hash buckets. A word's number in the global dictionary is its rank times the number of buckets plus
-its bucket: unique, and without gaps but for those between the least and the fullest bucket.
+its bucket: unique, and without gaps but for those between the least and the fullest bucket. A bucket's
+numbers go back to each task as one row of packed slots and numbers, not as a row per word.
 
 Scale: a word that every document holds is shuffled once per task, so common words weigh no more
-than others. The dictionary is a table like any other: nothing of it is broadcast or collected. A
+than others. The dictionary is a table like any other: nothing of it is broadcast or collected. A bucket's
+words are ranked together, and buckets are BUCKETS_PER_PARTITION times the shuffle partitions. A
 shard closes at SHARD_BYTES of text or SHARD_DOCS documents; a task holds one shard and its own
 distinct words, which follow the size of an input split or the longest text. Shards are stored in
 the shared folder before and after their words get their numbers.
@@ -20,13 +22,15 @@ carried by place, so their names can't clash. An empty table has no shards and n
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,12 +48,9 @@ PARTS = ["starts", "slots", "counts"]
 Measure = Callable[[bytes], int]
 
 
-class _Slots(dict):
+def _new_slots() -> defaultdict[bytes, int]:
     """Numbers for words, in order of appearance."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+    return defaultdict(count().__next__)
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -72,7 +73,7 @@ def _joined(parts: list[np.ndarray]) -> np.ndarray:
 class _Shard:
     """The rows of one open shard. `slots`, the numbers of the task's words, goes on from shard to shard."""
 
-    def __init__(self, slots: _Slots) -> None:
+    def __init__(self, slots: defaultdict[bytes, int]) -> None:
         self.slots, self.known = slots, len(slots)
         self.docs: list[pa.StructArray] = []
         self.starts, self.terms, self.counts = [0], [], []
@@ -93,7 +94,7 @@ class _Shard:
 
     def row(self, task: int, fields: T.StructType) -> pa.RecordBatch:
         docs = pa.concat_arrays(self.docs)
-        fresh = list(self.slots)[self.known :]
+        fresh = list(islice(self.slots, self.known, None))
         made = [pa.array([task], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)]
         parts = (np.array(self.starts), _joined(self.terms), _joined(self.counts))
         made += [pa.array([packed(part)], pa.binary()) for part in parts]
@@ -106,7 +107,7 @@ def _sharder(fields: T.StructType, measures: list[Measure]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        shard = _Shard(_Slots())
+        shard = _Shard(_new_slots())
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 *kept, given = batch.slice(start, SLICE).columns
@@ -128,10 +129,49 @@ def _sharder(fields: T.StructType, measures: list[Measure]):
     return run
 
 
+def _ranked(bucket: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """A bucket's distinct words, the rank of each, and which of them each row holds."""
+    rows = bucket["word"].combine_chunks().dictionary_encode()
+    ranks = np.empty(len(rows.dictionary), np.int64)
+    ranks[pc.sort_indices(rows.dictionary).to_numpy()] = np.arange(len(ranks))
+    return rows.dictionary, ranks, rows.indices.to_numpy()
+
+
+def _slices(numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The stretches of numbers between the ends, as bytes."""
+    offsets = pa.py_buffer((ends * numbers.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, pa.py_buffer(numbers)])
+
+
+def _numberer(buckets: int):
+    def run(bucket: pa.Table) -> pa.Table:
+        """Per task that holds words of the bucket, their slots and their column numbers."""
+        _, ranks, place = _ranked(bucket)
+        terms = ranks[place] * buckets + bucket["bucket"][0].as_py()
+        tasks = bucket["task"].to_numpy()
+        order = np.argsort(tasks, kind="stable")
+        own, starts = np.unique(tasks[order], return_index=True)
+        ends = np.append(starts, len(tasks))
+        slots = bucket["slot"].to_numpy()[order]
+        return pa.table({"task": pa.array(own, pa.int32()), "slots": _slices(slots, ends), "terms": _slices(terms[order], ends)})
+
+    return run
+
+
+def _speller(buckets: int):
+    def run(bucket: pa.Table) -> pa.Table:
+        """The bucket's part of the dictionary."""
+        words, ranks, _ = _ranked(bucket)
+        return pa.table({"term": ranks * buckets + bucket["bucket"][0].as_py(), "word": words})
+
+    return run
+
+
 def _scattered(numbers: pa.Table) -> pa.Table:
     """One task's numbers of its words, packed in the order of their slots."""
-    terms = np.empty(numbers.num_rows, np.int64)
-    terms[numbers["slot"].to_numpy()] = numbers["term"].to_numpy()
+    slots = np.frombuffer(b"".join(numbers["slots"].to_pylist()), np.int32)
+    terms = np.empty(len(slots), np.int64)
+    terms[slots] = np.frombuffer(b"".join(numbers["terms"].to_pylist()), np.int64)
     return pa.table({"task": numbers["task"].slice(0, 1), "numbers": pa.array([terms.tobytes()], pa.binary())})
 
 
@@ -155,14 +195,6 @@ def _stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def _numbered(spark: SparkSession, words: DataFrame) -> DataFrame:
-    """(task, slot, word, term) of every task's words."""
-    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word")).cast("long") - 1
-    bucketed = words.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
-    return bucketed.select("task", "slot", "word", (rank * buckets + F.col("bucket")).alias("term"))
-
-
 def build(
     spark: SparkSession,
     docs: DataFrame,
@@ -189,8 +221,11 @@ def build(
     local = _stored(spark, given.mapInArrow(_sharder(fields, list(measures.values())), fields), "local-shards")
 
     words = local.select("task", "known", F.posexplode("words").alias("at", "word"))
-    encoding = _numbered(spark, words.select("task", (F.col("known") + F.col("at")).alias("slot"), "word"))
-    numbers = encoding.select("task", "slot", "term").groupBy("task").applyInArrow(_scattered, "task int, numbers binary")
+    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int").alias("bucket")
+    dealt = words.select("task", (F.col("known") + F.col("at")).alias("slot"), "word", bucket).groupBy("bucket")
+    encoding = dealt.applyInArrow(_numberer(buckets), "task int, slots binary, terms binary")
+    numbers = encoding.groupBy("task").applyInArrow(_scattered, "task int, numbers binary")
     names = dict(zip(row.names, [*keep, *measures]))
     renamed = F.transform("docs", lambda doc: F.struct(*(doc[place].alias(name) for place, name in names.items())))
     joined = local.join(numbers, "task", "left").select(renamed.alias("docs"), *PARTS, "numbers")
@@ -198,7 +233,7 @@ def build(
     for name in ("starts", "terms", "counts"):
         shape = shape.add(name, "binary")
     shards = _stored(spark, joined.mapInArrow(_encode, shape), "shards")
-    return shards, encoding.select("term", "word").distinct()
+    return shards, words.select("word", bucket).groupBy("bucket").applyInArrow(_speller(buckets), "term long, word binary")
 
 
 def row_totals(shards: DataFrame) -> DataFrame:
