@@ -9,7 +9,8 @@ from conftest import rows_of
 from tillroll.layers import CUSTOMER_KEY, GOLD_CUSTOMER, GOLD_SALES, SILVER
 from tillroll.plans.customers import customer_latest, customer_metrics, customers
 from tillroll.plans.sales import sales
-from tillroll.plans.silver import conform, keyed_rows, keyless_rows
+from tillroll.plans import silver as silver_plan
+from tillroll.plans.silver import conform, keyed_rows, keyed_rows_by_count, keyless_rows
 from tillroll.workload import inputs
 
 TINY = "/root/testdata/sf0.001"
@@ -128,3 +129,35 @@ def test_one_customer_with_a_third_of_all_rows(spark):
     rows += [(f"C{i}", f"P{i}", date(2018, 12, 1), 10_000 + i, "s") for i in range(300)]
     silver = silver_of(spark, rows)
     assert rows_of(customers(silver, ANCHOR)) == rows_of(customers_by_join(silver, ANCHOR))
+
+
+BRONZE = "row_id string, order_date string, city string, year int, month int, day int, _place int, _ingested_at string"
+
+
+def bronze_with_copies(spark):
+    once = [(str(i), "1/2/2018", f"c{i}", 2018, 1, 2, i % 3, "now") for i in range(20)]
+    copies = [
+        ("3", "1/2/2018", "B", 2018, 1, 2, 1, "now"), ("3", "1/3/2018", "A", 2018, 1, 3, 1, "now"),
+        ("5", None, None, None, None, None, 2, "now"), (" 7 ", "1/2/2018", "A", 2018, 1, 2, 0, None),
+        ("7", "1/2/2018", "Z", 2018, 1, 2, None, "now"), ("8", "1/2/2018", "c8", 2018, 1, 2, 2, "now"),
+        ("x", "1/2/2018", "A", 2018, 1, 2, 0, "now"), (None, None, None, None, None, None, 0, "now"),
+    ]
+    return spark.createDataFrame(once + copies, BRONZE)
+
+
+@pytest.mark.parametrize("few", [silver_plan.FEW_KEYS, 0], ids=["few", "many"])
+def test_keys_counted_first_pick_the_same_rows(spark, monkeypatch, few):
+    monkeypatch.setattr(silver_plan, "FEW_KEYS", few)
+    bronze, order = bronze_with_copies(spark), ("_place", "_ingested_at")
+    found = keyed_rows_by_count(bronze, *order)
+    expected = keyed_rows(bronze, *order)
+    assert found.columns == expected.columns == SILVER.names
+    assert rows_of(found) == rows_of(expected) and found.count() == 20
+
+
+def test_rows_whose_keys_come_once_are_not_sorted_or_shuffled(spark):
+    bronze = bronze_with_copies(spark).filter("city like 'c%' and row_id != '8'")
+    found = keyed_rows_by_count(bronze, "_place", "_ingested_at")
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Sort" not in text
+    assert rows_of(found) == rows_of(keyed_rows(bronze, "_place", "_ingested_at")) and found.count() == 19

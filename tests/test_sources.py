@@ -7,7 +7,7 @@ import pytest
 from conftest import rows_of
 from tillroll.plans.bronze import bronze_rows
 from tillroll.sources.events import event_records, malformed_count, runnable_keys, started_count
-from tillroll.sources.landing import check_landing_columns, folded_names, scan_csv
+from tillroll.sources.landing import check_landing_columns, folded_names, header_lines, listed_files, scan_csv
 
 HEADER = "Row ID,Order ID,Order Date,Customer ID,Sub-Category"
 
@@ -92,3 +92,14 @@ def test_events(spark):
     assert malformed_count(events).collect()[0].malformed == 5
     assert event_records(events).count() == 9
     assert rows_of(runnable_keys(events, prefix="in/")) == [("b", "in/x.csv")]
+
+
+def test_header_lines_open_no_other_file(spark, tmp_path):
+    folder = tmp_path / "a b.csv"
+    folder.mkdir()
+    write(folder / "part-0.csv", f"\n  \n{HEADER}\n1,O,1/2/2018,C,X\n")
+    # Whoever opens this one fails: it is not what its suffix says.
+    (folder / "part-1.csv.gz").write_bytes(b"no gzip file")
+    parts = listed_files(spark, [str(folder)])[str(folder)]
+    assert len(parts) == 2
+    assert list(header_lines(spark, [str(folder)], parts[:1]).values()) == [HEADER]

@@ -26,7 +26,7 @@ from tillroll.operators.append import append_by_name
 from tillroll.plans.bronze import bronze_rows
 from tillroll.plans.customers import customers
 from tillroll.plans.sales import sales
-from tillroll.plans.silver import keyed_rows, keyless_rows
+from tillroll.plans.silver import keyed_rows_by_count, keyless_rows
 from tillroll.sinks import buckets, day_index, day_store
 from tillroll.sinks.catalog import LayerTable, create_database, in_partitions, property_of, set_property
 from tillroll.sinks.merge import Match, apply_match, match, merge_into
@@ -166,7 +166,7 @@ def run_files(
     rejected = write_slices(spark, layers.rejects, keyless_rows(arrived, INGEST_ID), list(places))
     report.rejected = sum(rejected[one] for one in counts)
 
-    source = keyed_rows(arrived, "_place", INGESTED_AT)
+    source = keyed_rows_by_count(arrived, "_place", INGESTED_AT)
     found = match(spark, layers.silver, source, (SALES_KEY, CUSTOMER_KEY))
     report.silver = found.rows
     if found.rows:

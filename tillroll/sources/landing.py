@@ -93,17 +93,16 @@ def listed_files(spark: SparkSession, uris: list[str]) -> dict[str, list[str]]:
 def header_lines(spark: SparkSession, uris: list[str], files: list[str]) -> dict[str, str]:
     """The first line with text of each of the files below the URIs, by its path: one scan, whatever their number.
 
-    The condition on a file's name is one that the listing answers, so no other file is opened.
+    The condition on a file's name is one that the listing answers, so no other file is opened. It has to
+    stand below the numbers of the lines, as no condition is moved past those.
     """
     meta = F.col("_metadata")
-    lines = spark.read.text([literal_path(uri) for uri in uris]).select(
-        "value",
-        meta["file_path"].alias("path"),
-        meta["file_block_start"].alias("start"),
-        F.monotonically_increasing_id().alias("place"),
+    wanted = F.regexp_replace(meta["file_path"], "^file:/+", "file:/").isin(files)
+    texts = spark.read.text([literal_path(uri) for uri in uris])
+    lines = texts.filter(wanted).filter((meta["file_block_start"] == 0) & (F.trim("value") != "")).select(
+        "value", meta["file_path"].alias("path"), F.monotonically_increasing_id().alias("place")
     )
-    wanted = F.regexp_replace("path", "^file:/+", "file:/").isin(files)
-    first = lines.filter(wanted & (F.col("start") == 0) & (F.trim("value") != "")).groupBy("path")
+    first = lines.groupBy("path")
     return {same_path(path): line for path, line in first.agg(F.min_by("value", "place")).collect()}
 
 
